@@ -1,7 +1,8 @@
 """Output normalisation shared by the Spark queries and their DuckDB oracles.
 
 Each registered query declares its output columns with a kind:
-``i`` integer -> BIGINT, ``f`` float -> DOUBLE rounded to 6 digits,
+``i`` integer -> BIGINT, ``f`` float -> DOUBLE rounded to 6 digits (floor(x*1e6+0.5)/1e6 on both sides:
+the engines' own round() differ on exact ties),
 ``s`` string, ``d`` date -> 'YYYY-MM-DD', ``t`` timestamp -> 'YYYY-MM-DD HH:MM:SS',
 ``b`` boolean. Both sides are projected through the same spec, so names,
 types and rounding agree by construction.
@@ -27,7 +28,8 @@ def finalize(df: DataFrame, spec: str) -> DataFrame:
         if kind == "i":
             c = c.cast("bigint")
         elif kind == "f":
-            c = F.round(c.cast("double"), 6)
+            # same IEEE operations as the SQL side, so ties round alike
+            c = (F.floor(c.cast("double") * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6))
         elif kind == "s":
             c = c.cast("string")
         elif kind == "d":
@@ -49,7 +51,7 @@ def wrap_sql(sql: str, spec: str) -> str:
         if kind == "i":
             e = f"CAST({q} AS BIGINT)"
         elif kind == "f":
-            e = f"round(CAST({q} AS DOUBLE), 6)"
+            e = f"CAST(floor(CAST({q} AS DOUBLE) * 1e6 + 0.5e0) AS DOUBLE) / 1e6"
         elif kind == "s":
             e = f"CAST({q} AS VARCHAR)"
         elif kind == "d":

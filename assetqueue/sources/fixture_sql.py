@@ -68,7 +68,7 @@ p1 AS (
     least(60e0, av * 0.8e0 - 15e0) + 10e0 AS intake_air_temp_avg_c, 170e0 + xk / 2e0 AS boost_pressure_avg_kpa,
     4e0 + mn / 10e0 AS dpf_delta_p_avg_kpa, 75e0 + av / 5e0 AS trans_temp_avg_c,
     0.35e0 + 0.2e0 * ne AS vibration_rms,
-    least(1e0, sum(sv) OVER (PARTITION BY user_id ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / 20000e0) AS brake_wear_index,
+    least(1e0, sum(CAST(round(sv * 100e0) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / 2000000e0) AS brake_wear_index,
     CAST(ne AS INTEGER) AS dtc_count_today
   FROM pb),
 p2 AS (

@@ -98,11 +98,11 @@ def fx_panel_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = p.withColumn("risk_score", risk)
     # W8 / W9-style running sums (skew-safe prefix sums)
     p = P.running_mileage(p, start=F.lit(10000.0) * (F.col("user_id") % 10))
-    p = p.withColumn("__sv", F.col("sv"))
+    # running sum in exact integer cents, so both engines get the same double
     from assetqueue.functions.prefix import prefix_sum
-    p = prefix_sum(p, "vehicle_id", "date", {"__csv": F.col("sv")})
-    p = p.withColumn("brake_wear_index", F.least(F.lit(1.0), F.col("__csv") / F.lit(20000.0)))
-    return p.drop("__sv", "__csv", "sv")
+    p = prefix_sum(p, "vehicle_id", "date", {"__csv": F.round(F.col("sv") * F.lit(100.0)).cast("long")})
+    p = p.withColumn("brake_wear_index", F.least(F.lit(1.0), F.col("__csv") / F.lit(2000000.0)))
+    return p.drop("__csv", "sv")
 
 
 PANEL_ORDER = [
