@@ -20,6 +20,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ass
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.parquet.aggregatePushdown", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("ASSETQUEUE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )

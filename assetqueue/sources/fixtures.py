@@ -96,13 +96,14 @@ def fx_panel_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1.6) - F.lit(1.2) * F.col("duty_cycle") - F.lit(0.5) * F.col("dtc_count_today")
         - F.lit(1.5) * F.col("spc_alert_today") - F.lit(0.8) * F.col("hilliness_index"))), 6)
     p = p.withColumn("risk_score", risk)
-    # W8 / W9-style running sums (skew-safe prefix sums)
-    p = P.running_mileage(p, start=F.lit(10000.0) * (F.col("user_id") % 10))
-    # running sum in exact integer cents, so both engines get the same double
+    # W8 / W9-style running sums in ONE skew-safe prefix-sum pass; the wear sum
+    # runs in exact integer cents, so both engines get the same double
     from assetqueue.functions.prefix import prefix_sum
-    p = prefix_sum(p, "vehicle_id", "date", {"__csv": F.round(F.col("sv") * F.lit(100.0)).cast("long")})
-    p = p.withColumn("brake_wear_index", F.least(F.lit(1.0), F.col("__csv") / F.lit(2000000.0)))
-    return p.drop("__csv", "sv")
+    p = prefix_sum(p, "vehicle_id", "date", {"__m": F.col("miles_today"),
+                                             "__csv": F.round(F.col("sv") * F.lit(100.0)).cast("long")})
+    p = (p.withColumn("mileage_total", F.lit(10000.0) * (F.col("user_id") % 10) + F.col("__m"))
+         .withColumn("brake_wear_index", F.least(F.lit(1.0), F.col("__csv") / F.lit(2000000.0))))
+    return p.drop("__m", "__csv", "sv")
 
 
 PANEL_ORDER = [
