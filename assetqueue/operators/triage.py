@@ -42,9 +42,11 @@ def dominant_subsystem(dtc: DataFrame, as_of, lookback_days: int = 30, as_of_bou
     top-1 is a second aggregate (min of (-n, subsystem)), not a window.
     """
     start = _dt.datetime.combine(as_of, _dt.time()) - _dt.timedelta(days=lookback_days)
-    cond = F.col("timestamp").isNotNull() & (F.col("timestamp") >= F.lit(start).cast("timestamp_ntz"))
+    # ISO-string literals: independent of the session / Python time zones
+    cond = F.col("timestamp").isNotNull() & (F.col("timestamp") >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
     if as_of_bound:
-        cond = cond & (F.col("timestamp") < F.lit(as_of + _dt.timedelta(days=1)).cast("timestamp_ntz"))
+        upper = _dt.datetime.combine(as_of + _dt.timedelta(days=1), _dt.time())
+        cond = cond & (F.col("timestamp") < F.lit(upper.isoformat(sep=" ")).cast("timestamp_ntz"))
     counts = (dtc.filter(cond & F.col("vehicle_id").isNotNull() & F.col("subsystem").isNotNull())
               .groupBy("vehicle_id", "subsystem").agg(F.count(F.lit(1)).alias("n")))
     top = counts.groupBy("vehicle_id").agg(F.min(F.struct((-F.col("n")).alias("nn"), F.col("subsystem"))).alias("t"))

@@ -45,7 +45,7 @@ def train_report_q(spark, sf_dir):
 def score_snapshot_q(spark, sf_dir):
     """A fitted model applied to the latest day."""
     panel = FX.fx_panel(spark, sf_dir)
-    out = MD.train_models(panel, CFG, models=("logreg",))
+    out = MD.train_models(panel, CFG.with_(horizons=(30,)), models=("logreg",))
     model = out["models"][(30, "logreg")]
     return MD.score(model, out["preprocessor"], TR.latest_day(panel))
 
