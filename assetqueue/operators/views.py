@@ -53,11 +53,24 @@ def recent_events(dtc: DataFrame, n: int = 50) -> DataFrame:
     return r.orderBy("vehicle_id", "timestamp")
 
 
-def risk_trend(scored: DataFrame, score: str = "risk_score") -> DataFrame:
-    """The daily score of each asset with the change from its previous day."""
-    w = Window.partitionBy("vehicle_id").orderBy("date")
-    return scored.select("vehicle_id", "date", F.col(score).alias("risk_score"),
-                         (F.col(score) - F.lag(score).over(w)).alias("risk_delta"))
+def risk_trend(scored: DataFrame, score: str = "risk_score", bucket_days: int = 64) -> DataFrame:
+    """The daily score of each asset with the change from its previous day.
+
+    Skew-safe lag: the window runs per (asset, 64-day bucket); the first row of
+    a bucket takes the last row of the asset's previous bucket from a small
+    per-bucket table (one row per bucket), so a long history is never one task.
+    """
+    from assetqueue.functions.prefix import day_number
+
+    b = F.floor(day_number("date") / F.lit(bucket_days)).cast("long")
+    base = scored.select("vehicle_id", "date", F.col(score).alias("risk_score"), b.alias("__b"))
+    last = base.groupBy("vehicle_id", "__b").agg(F.max(F.struct("date", "risk_score")).alias("__l"))
+    prev = last.select("vehicle_id", "__b",
+                       F.lag("__l").over(Window.partitionBy("vehicle_id").orderBy("__b")).alias("__p"))
+    wb = Window.partitionBy("vehicle_id", "__b").orderBy("date")
+    j = base.join(prev, ["vehicle_id", "__b"], "left")
+    before = F.coalesce(F.lag("risk_score").over(wb), F.col("__p.risk_score"))
+    return j.select("vehicle_id", "date", "risk_score", (F.col("risk_score") - before).alias("risk_delta"))
 
 
 def signal_trends(panel: DataFrame, ids: DataFrame, signals=TREND_SIGNALS) -> DataFrame:

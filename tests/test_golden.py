@@ -169,3 +169,13 @@ def test_cost_defaults_without_work_orders(spark):
     wo = spark.createDataFrame([], WORK_ORDER)
     c = TR.with_cost_score(snap, wo).first()["cost_score"]
     assert c == pytest.approx(0.5 * (2.0 + 0.2 * 5.0) * 1.2)
+
+
+def test_risk_trend_across_buckets(spark):
+    rows = [("V1", day(i), float(i % 5)) for i in range(0, 300, 3)]
+    df = spark.createDataFrame(rows, "vehicle_id string, date date, risk_score double")
+    got = {r["date"]: r["risk_delta"] for r in V.risk_trend(df, bucket_days=10).collect()}
+    prev = None
+    for _, d, s in rows:
+        assert got[d] == (None if prev is None else s - prev)
+        prev = s
