@@ -132,9 +132,6 @@ class Config:
     gbt_max_iter: int = 300
     gbt_depth: int = 3
     gbt_step: float = 0.05
-    # exact medians/percentiles unless approx=True (then percentile_approx)
-    approx: bool = False
-    approx_accuracy: int = 10000
 
     @property
     def features(self) -> tuple:

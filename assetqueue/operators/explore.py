@@ -51,7 +51,7 @@ def work_orders_by_subsystem(wo: DataFrame) -> DataFrame:
     empty = (wo.sparkSession.range(1).select(F.lit("no_work_orders").alias("subsystem"),
                                              F.lit(0).cast("long").alias("n_work_orders"))
              .filter(total == 0))
-    return g.unionByName(empty, allowMissingColumns=True)
+    return g.unionByName(empty, allowMissingColumns=True).orderBy(F.desc("n_work_orders"), "subsystem")
 
 
 def top_demand(by_subsystem: DataFrame, n: int = 2) -> DataFrame:

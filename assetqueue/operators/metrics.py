@@ -12,18 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from assetqueue.functions import expressions as X
+from assetqueue.functions.quantile import exact_quantiles
 
 
 def value_prefix_sum(df: DataFrame, keys, order_col: str, values: dict, descending: bool = True,
-                     n_buckets: int = 64) -> DataFrame:
+                     bucket_rows: int = 200_000) -> DataFrame:
     """Inclusive running sums of ``values`` per ``keys`` ordered by ``order_col``
-    (descending by default); exact, with quantile buckets for parallelism."""
+    (descending by default); exact. Buckets at the quantiles of every group, as
+    many as the largest group needs to have about ``bucket_rows`` rows in each."""
     from pyspark.ml.feature import Bucketizer
 
     keys = list(keys)
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, 10000)).first()[0] or []
-    splits = [float("-inf")] + sorted({float(b) for b in bounds if b is not None}) + [float("inf")]
+    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    n_buckets = largest // bucket_rows + 1
+    bounds = set()
+    if n_buckets > 1:
+        qs = [i / n_buckets for i in range(1, n_buckets)]
+        for r in df.groupBy(*keys).agg(F.percentile_approx(F.col(order_col).cast("double"), qs, 10000).alias("q")).collect():
+            bounds |= {float(b) for b in r["q"] or () if b is not None}
+    splits = [float("-inf"), *(sorted(bounds) or [0.0]), float("inf")]
     base = df.withColumn("__x", F.col(order_col).cast("double"))
     base = Bucketizer(splits=splits, inputCol="__x", outputCol="__bb", handleInvalid="keep").transform(base)
     nb = len(splits)
@@ -40,26 +47,26 @@ def value_prefix_sum(df: DataFrame, keys, order_col: str, values: dict, descendi
     return j.select(*df.columns, *[(F.col(t + "o") + F.sum(t).over(wb)).alias(n) for n, t in tmp.items()])
 
 
-def _by_threshold(pred: DataFrame, keys, y: str, p: str, n_buckets: int) -> DataFrame:
+def _by_threshold(pred: DataFrame, keys, y: str, p: str, bucket_rows: int) -> DataFrame:
     g = pred.groupBy(*keys, F.col(p).alias("threshold")).agg(
         F.sum(F.col(y).cast("double")).alias("tp"), F.count(F.lit(1)).cast("double").alias("n"))
-    c = value_prefix_sum(g, keys, "threshold", {"cum_tp": F.col("tp"), "cum_n": F.col("n")}, True, n_buckets)
+    c = value_prefix_sum(g, keys, "threshold", {"cum_tp": F.col("tp"), "cum_n": F.col("n")}, True, bucket_rows)
     tot = g.groupBy(*keys).agg(F.sum("tp").alias("pos"))
     return c.join(tot, list(keys), "left") if keys else c.withColumn("pos", tot.select("pos").scalar())
 
 
 def average_precision(pred: DataFrame, keys=("horizon_days", "model"), y: str = "y_true", p: str = "proba",
-                      n_buckets: int = 64) -> DataFrame:
+                      bucket_rows: int = 200_000) -> DataFrame:
     """M9: AP = sum over distinct thresholds (desc) of (R_n - R_{n-1}) * P_n."""
-    c = _by_threshold(pred, keys, y, p, n_buckets)
+    c = _by_threshold(pred, keys, y, p, bucket_rows)
     term = F.when(F.col("pos") > 0, F.col("tp") / F.col("pos") * (F.col("cum_tp") / F.col("cum_n")))
     return c.groupBy(*keys).agg(F.sum(term).alias("auprc"))
 
 
 def pr_curve(pred: DataFrame, keys=("horizon_days", "model"), y: str = "y_true", p: str = "proba",
-             n_buckets: int = 64) -> DataFrame:
+             bucket_rows: int = 200_000) -> DataFrame:
     """(threshold, precision, recall) per distinct threshold plus the end point (1, 0)."""
-    c = _by_threshold(pred, keys, y, p, n_buckets)
+    c = _by_threshold(pred, keys, y, p, bucket_rows)
     pts = c.select(*keys, "threshold", (F.col("cum_tp") / F.col("cum_n")).alias("precision"),
                    F.when(F.col("pos") > 0, F.col("cum_tp") / F.col("pos")).alias("recall"))
     end = pred.select(*keys).distinct().select(*keys, F.lit(None).cast("double").alias("threshold"),
@@ -73,16 +80,22 @@ def brier(pred: DataFrame, keys=("horizon_days", "model"), y: str = "y_true", p:
 
 
 def calibration_curve(pred: DataFrame, keys=("horizon_days", "model"), y: str = "y_true", p: str = "proba",
-                      n_bins: int = 10, approx: bool = False) -> DataFrame:
+                      n_bins: int = 10) -> DataFrame:
     """Quantile bins (edges = percentiles 0..100 of p per group), bin = number
-    of inner edges < p; empty bins dropped."""
-    qs = [i / n_bins for i in range(n_bins + 1)]
-    pct = F.percentile_approx(p, qs, 10000) if approx else F.percentile(p, qs)
-    edges = pred.groupBy(*keys).agg(pct.alias("__e"))
-    j = pred.join(edges, list(keys), "left")
-    inner = F.slice("__e", 2, n_bins - 1)
-    b = F.size(F.filter(inner, lambda e: e < F.col(p)))
-    return (j.withColumn("bin", b).groupBy(*keys, "bin")
+    of inner edges < p; empty bins dropped. The few groups' edges are literals,
+    so no prediction row is shuffled to meet them."""
+    keys = list(keys)
+    edges = exact_quantiles(pred, p, [i / n_bins for i in range(1, n_bins)], keys)
+    b = F.lit(None).cast("int")
+    for group, inner in edges.items():
+        same = F.lit(True)
+        for c, v in zip(keys, group):
+            same = same & F.col(c).eqNullSafe(F.lit(v))
+        n = F.lit(0)
+        for e in inner:
+            n = n + (F.lit(e) < F.col(p)).cast("int")
+        b = F.when(same, n).otherwise(b)
+    return (pred.withColumn("bin", b).groupBy(*keys, "bin")
             .agg(F.avg(F.col(y).cast("double")).alias("prob_true"), F.avg(p).alias("prob_pred"),
                  F.count(F.lit(1)).alias("n")))
 
@@ -104,10 +117,10 @@ def precision_at_k_mean(per_monday: DataFrame, keys=("horizon_days", "model")) -
     return per_monday.groupBy(*keys).agg(F.avg("precision_at_k").alias("precision_at_k_mondays_mean"))
 
 
-def risk_metrics(pred: DataFrame, k: int = 10, calibrated=None, n_buckets: int = 64) -> DataFrame:
+def risk_metrics(pred: DataFrame, k: int = 10, calibrated=None) -> DataFrame:
     """M13 metrics table: (task, model, calibrated, auprc, brier, precision_at_k_mondays_mean)."""
     keys = ["horizon_days", "model"]
-    ap = average_precision(pred, keys, n_buckets=n_buckets)
+    ap = average_precision(pred, keys)
     br = brier(pred, keys)
     pk = precision_at_k_mean(precision_at_k(pred, k, keys), keys)
     out = ap.join(br, keys).join(pk, keys, "left")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,7 +20,6 @@ from assetqueue.operators import metrics as M
 
 
 def vectorize(df: DataFrame, pre: FE.Preprocessor, keep=("vehicle_id", "date")) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
     return df.select(*[c for c in keep if c in df.columns], array_to_vector(pre.array()).alias("features"))
 
 
@@ -54,18 +53,43 @@ def margin(pred: DataFrame) -> DataFrame:
 
 @dataclass
 class Calibrated:
+    """A fitted model and its calibrator (an MLlib model), or None; ``kind``: isotonic, sigmoid or none."""
+
     model: object
-    iso: object | None
+    calibrator: object | None
+    kind: str = "none"
 
     @property
     def calibrated(self) -> bool:
-        return self.iso is not None
+        return self.calibrator is not None
 
     def predict(self, df: DataFrame) -> DataFrame:
         p = margin(self.model.transform(df))
-        if self.iso is None:
-            return p.withColumn("proba", F.col("proba_raw"))
-        return self.iso.transform(p).withColumn("proba", F.col("iso_pred"))
+        if self.kind == "isotonic":
+            return self.calibrator.transform(p).withColumn("proba", F.col("iso_pred"))
+        if self.kind == "sigmoid":
+            out = self.calibrator.transform(p.withColumn("__m", array_to_vector(F.array("margin"))))
+            return out.withColumn("proba", vector_to_array("__sprob")[1])
+        return p.withColumn("proba", F.col("proba_raw"))
+
+
+def fit_isotonic(scores: DataFrame, score_col: str, label: str):
+    """M8: isotonic regression of the label on a score column (prediction column ``iso_pred``)."""
+    return IsotonicRegression(featuresCol=score_col, labelCol=label, predictionCol="iso_pred", isotonic=True).fit(scores)
+
+
+def fit_sigmoid(scores: DataFrame, label: str):
+    """Platt's calibration: logistic regression of smoothed targets on the margin.
+
+    The targets are (n+ + 1) / (n+ + 2) and 1 / (n- + 2); a row with target t is
+    one row of label 1 and weight t and one of label 0 and weight 1 - t.
+    """
+    n_pos, n = scores.agg(F.sum(F.col(label)), F.count("*")).first()
+    t = F.when(F.col(label) == 1, F.lit((n_pos + 1.0) / (n_pos + 2.0))).otherwise(F.lit(1.0 / (n - n_pos + 2.0)))
+    both = scores.select(array_to_vector(F.array("margin")).alias("__m"),
+                         F.explode(F.array(F.struct(F.lit(1.0).alias("y"), t.alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - t).alias("w")))).alias("x"))
+    return LogisticRegression(featuresCol="__m", labelCol="y", weightCol="w", predictionCol="__sp", probabilityCol="__sprob",
+                              rawPredictionCol="__sraw", regParam=0.0, tol=1e-9, maxIter=200).fit(both.select("__m", "x.*"))
 
 
 def calibrate(model, val: DataFrame, label: str, method: str = "isotonic") -> Calibrated:
@@ -75,33 +99,21 @@ def calibrate(model, val: DataFrame, label: str, method: str = "isotonic") -> Ca
     if n_cls != 2:
         return Calibrated(model, None)
     v = margin(model.transform(val))
-    if method == "sigmoid":
-        from pyspark.ml.feature import VectorAssembler
-        va = VectorAssembler(inputCols=["margin"], outputCol="__m")
-        sig = LogisticRegression(featuresCol="__m", labelCol=label, predictionCol="__sp",
-                                 probabilityCol="__sprob", rawPredictionCol="__sraw", regParam=0.0)
-        fitted = sig.fit(va.transform(v))
-
-        class _Sig:
-            def transform(self, df):
-                out = fitted.transform(va.transform(df))
-                return out.withColumn("iso_pred", vector_to_array("__sprob")[1])
-        return Calibrated(model, _Sig())
-    iso = IsotonicRegression(featuresCol="margin", labelCol=label, predictionCol="iso_pred", isotonic=True)
-    return Calibrated(model, iso.fit(v))
+    return Calibrated(model, fit_sigmoid(v, label) if method == "sigmoid" else fit_isotonic(v, "margin", label), method)
 
 
 def train_models(panel: DataFrame, cfg: Config = DEFAULT, models=("logreg", "hgb"), gbt_iter: int | None = None):
     """Split -> preprocessor (fitted once) -> for each horizon x model:
     fit, calibrate, predict test -> long predictions, metrics, P@K, run summary."""
+    panel = panel.persist()  # every step below reads it
     b = FE.split_bounds(panel, cfg)
     sp = FE.with_split(panel, b)
     train = sp.filter(F.col("split") == "train")
     pre = FE.fit_preprocessor(train, cfg)
     labels = [f"breakdown_{h}d" for h in cfg.horizons]
-    feats = sp.select("vehicle_id", "date", "split", *labels, pre.array().alias("__f"))
-    from pyspark.ml.functions import array_to_vector
-    feats = feats.withColumn("features", array_to_vector("__f")).drop("__f").persist()
+    feats = sp.select("vehicle_id", "date", "split", *labels, array_to_vector(pre.array()).alias("features")).persist()
+    counts = {r["split"]: r["count"] for r in feats.groupBy("split").count().collect()}
+    panel.unpersist()
     fitted, preds = {}, []
     for h, label in zip(cfg.horizons, labels):
         tr = feats.filter(F.col("split") == "train")
@@ -113,23 +125,24 @@ def train_models(panel: DataFrame, cfg: Config = DEFAULT, models=("logreg", "hgb
             base = fit_logreg(tr, label, cfg) if m == "logreg" else fit_gbt(tr, label, cfg, gbt_iter)
             cal = calibrate(base, val, label, cfg.calibration)
             fitted[(h, m)] = cal
-            p = cal.predict(test).select(F.lit(h).alias("horizon_days"), F.lit(m).alias("model"),
-                                         F.lit(int(cal.calibrated)).alias("calibrated"), "vehicle_id", "date",
-                                         F.col(label).cast("int").alias("y_true"), F.col("proba").cast("double"))
-            preds.append(p)
+            preds.append(cal.predict(test).select(
+                F.lit(h).alias("horizon_days"), F.lit(m).alias("model"), F.lit(int(cal.calibrated)).alias("calibrated"),
+                "vehicle_id", "date", F.col(label).cast("int").alias("y_true"), F.col("proba").cast("double")))
     long = preds[0]
     for p in preds[1:]:
         long = long.unionByName(p)
-    cal_flag = long.select("horizon_days", "model", "calibrated").distinct()
-    metrics = (M.risk_metrics(long.drop("calibrated"), cfg.k_per_week, n_buckets=16)
-               .join(cal_flag.withColumn("task", F.format_string("risk_%dd", "horizon_days")).drop("horizon_days")
-                     .withColumnRenamed("calibrated", "cal"), ["task", "model"], "left")
-               .withColumn("calibrated", F.col("cal")).drop("cal")
-               .orderBy("task", "model"))
+    long = long.persist()  # each metric reads it; materialised here, so the features can go
+    long.count()
+    feats.unpersist()
+    flag = F.lit(0)  # known from the fits: no job
+    for (h, m), cal in fitted.items():
+        flag = F.when((F.col("task") == f"risk_{h}d") & (F.col("model") == m), F.lit(int(cal.calibrated))).otherwise(flag)
+    # Best first
+    metrics = M.risk_metrics(long.drop("calibrated"), cfg.k_per_week).withColumn("calibrated", flag).orderBy(
+        F.col("auprc").desc_nulls_last(), "task", "model")
     pak = M.precision_at_k(long.drop("calibrated"), cfg.k_per_week)
-    counts = sp.groupBy("split").count()
     return {"preprocessor": pre, "models": fitted, "predictions": long, "metrics": metrics,
-            "precision_at_k": pak, "split_counts": counts, "features": feats}
+            "precision_at_k": pak, "split_counts": counts}
 
 
 def score(model: Calibrated, pre: FE.Preprocessor, rows: DataFrame, keep=("vehicle_id", "date")) -> DataFrame:

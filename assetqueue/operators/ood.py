@@ -9,9 +9,9 @@ built on Spark primitives:
   (bounded explode), then exactly psi rows per tree by hash rank (window group
   limit). Independent of the partitioning, no driver collect of data;
 * growth: ``groupBy(tree).applyInPandas`` - one task per tree, <= psi rows each;
-* the forest (<= trees x 2 psi nodes) is small and shipped to the scorer;
+* the forest (<= trees x 2 psi nodes) is small and travels with the scorer;
 * scoring: a pandas UDF over Arrow batches; the flag threshold is the
-  (1 - contamination) percentile of the train scores (a scalar subquery).
+  (1 - contamination) quantile of the train scores, exact.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from assetqueue.functions.quantile import exact_quantiles
+
 EULER = 0.5772156649015329
 
 
@@ -151,5 +153,7 @@ def ood_flags(train_vec: DataFrame, rows_vec: DataFrame, contamination: float =
     (1 - contamination) percentile."""
     nodes, psi_eff = fit_forest(train_vec, key_cols, n_trees, psi, seed)
     sc = score_column(nodes, psi_eff)
-    thr = train_vec.select(sc.alias("s")).agg(F.percentile("s", 1.0 - contamination)).scalar()
-    return rows_vec.withColumn("ood_score", sc).withColumn("ood_flag", F.col("ood_score") > thr)
+    scores = train_vec.select(sc.alias("s")).persist()  # scored once for both passes of the quantile
+    thr = exact_quantiles(scores, "s", [1.0 - contamination]).get((), [None])[0]
+    scores.unpersist()
+    return rows_vec.withColumn("ood_score", sc).withColumn("ood_flag", F.col("ood_score") > F.lit(thr))

@@ -1,13 +1,13 @@
 """Similar-case retrieval (J7), evidence outcome rates (A17), evidence index.
 
-Exact k-nearest neighbours of a few query rows over the whole history:
+Exact k-nearest neighbours of the query rows over the whole history:
 
-* the query vectors are bounded by a parameter (top-K queue rows, K <= 50 by
-  default, checked) and shipped to the tasks as a small numpy matrix;
+* queries are taken in blocks of at most ``QUERY_BLOCK`` rows by a hash of
+  their id; every block is processed, so any number of queries works;
 * every history partition computes distances for its Arrow batches and keeps
   only its own best ``k`` per query (``mapInPandas``) - never query x history
-  pairs;
-* a window group limit (row_number <= k per query) merges the partial lists.
+  pairs, and one query's distances at a time;
+* the partial lists merge in two steps, per (query, salt) and per query.
 
 The total order is (distance, vehicle_id, date), so results do not depend on
 the partitioning.
@@ -19,61 +19,66 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-MAX_QUERIES = 1000
+QUERY_BLOCK, SALTS = 1000, 16
 
 
-def _partition_topk(qids, qmat, k, id_cols, vec_col):
+def _partition_topk(queries, k, id_cols, carry, vec_col, before):
+    """Best ``k`` rows of a partition for each (id, vector, day); ``before`` names the day column to stay below."""
+
     def run(batches):
-        best = None
+        best = {}
         for pdf in batches:
             if pdf.empty:
                 continue
             X = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            d = np.sqrt(((X[:, None, :] - qmat[None, :, :]) ** 2).sum(axis=2))  # rows x queries
-            parts = []
-            for j, qid in enumerate(qids):
-                col = d[:, j]
-                take = min(k, len(col))
-                idx = np.argpartition(col, take - 1)[:take] if take < len(col) else np.arange(len(col))
-                # ties at the cut: keep every row with distance <= the k-th distance
-                cut = col[idx].max()
-                idx = np.nonzero(col <= cut)[0]
-                sub = pdf.iloc[idx][id_cols].copy()
-                sub["query_id"] = qid
-                sub["distance"] = col[idx]
-                parts.append(sub)
-            cur = pd.concat(parts, ignore_index=True)
-            best = cur if best is None else pd.concat([best, cur], ignore_index=True)
-            best = (best.sort_values(["query_id", "distance", *id_cols], kind="mergesort")
-                    .groupby("query_id", sort=False).head(k).reset_index(drop=True))
-        if best is not None:
-            yield best
+            days = pd.to_datetime(pdf[before]).to_numpy() if before else None
+            for qid, vec, day in queries:
+                d = np.sqrt(((X - vec) ** 2).sum(axis=1))
+                idx = np.arange(len(d)) if days is None else np.nonzero(days < np.datetime64(day))[0]
+                if len(idx) > k:  # every row up to the k-th distance: ties stay
+                    cut = np.partition(d[idx], k - 1)[k - 1]
+                    idx = idx[d[idx] <= cut]
+                if not len(idx):
+                    continue
+                sub = pdf.iloc[idx][[*id_cols, *carry]].copy()
+                sub["query_id"], sub["distance"] = qid, d[idx]
+                old = best.get(qid)
+                sub = sub if old is None else pd.concat([old, sub], ignore_index=True)
+                best[qid] = sub.sort_values(["distance", *id_cols], kind="mergesort").head(k)
+        yield from best.values()
 
     return run
 
 
+def _first_k(df: DataFrame, k: int, id_cols, *by) -> DataFrame:
+    w = Window.partitionBy(*by).orderBy("distance", *id_cols)
+    return df.withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= k)
+
+
 def knn(history: DataFrame, queries: DataFrame, k: int = 50, vec_col: str = "features",
-        id_cols=("vehicle_id", "date"), query_id: str = "query_id") -> DataFrame:
+        id_cols=("vehicle_id", "date"), query_id: str = "query_id", carry=(), before: str | None = None) -> DataFrame:
     """Exact top-k Euclidean neighbours of each query row over ``history``.
 
-    Returns (query_id, *id_cols, distance, nn_rank)."""
-    id_cols = list(id_cols)
-    q = queries.select(query_id, vec_col).limit(MAX_QUERIES + 1).collect()  # bounded by the parameter
-    if len(q) > MAX_QUERIES:
-        raise ValueError(f"too many query rows for a broadcast kNN (> {MAX_QUERIES})")
-    if not q:
-        schema = T.StructType([T.StructField("query_id", T.StringType())]
-                              + [history.schema[c] for c in id_cols]
-                              + [T.StructField("distance", T.DoubleType()), T.StructField("nn_rank", T.IntegerType())])
-        return history.sparkSession.createDataFrame([], schema)
-    qids = [str(r[query_id]) for r in q]
-    qmat = np.array([np.asarray(r[vec_col], dtype=np.float64) for r in q])
-    schema = T.StructType([history.schema[c] for c in id_cols]
-                          + [T.StructField("query_id", T.StringType()), T.StructField("distance", T.DoubleType())])
-    part = history.select(*id_cols, vec_col).mapInPandas(_partition_topk(qids, qmat, k, id_cols, vec_col), schema)
-    w = Window.partitionBy("query_id").orderBy("distance", *id_cols)
-    top = part.withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= k)
-    return top.select("query_id", *id_cols, "distance", "nn_rank")
+    ``carry`` names history columns to bring along; with ``before`` only rows
+    whose ``before`` day precedes the query's own (column of the same name) count.
+    Returns (query_id, *id_cols, *carry, distance, nn_rank)."""
+    id_cols, carry = list(id_cols), list(carry)
+    fields = [history.schema[c] for c in (*id_cols, *carry)]
+    schema = T.StructType([*fields, T.StructField("query_id", T.StringType()), T.StructField("distance", T.DoubleType())])
+    cols = list(dict.fromkeys([*id_cols, *carry, vec_col, *([before] if before else [])]))
+    out = history.sparkSession.createDataFrame([], schema)
+    day = F.col(before) if before else F.lit(None).cast("date")
+    q = queries.select(F.col(query_id).cast("string").alias("q"), F.col(vec_col).alias("v"), day.alias("d"))
+    n_blocks = 2 * q.count() // QUERY_BLOCK + 1
+    for block in range(n_blocks):
+        rows = q.filter(F.pmod(F.xxhash64("q"), F.lit(n_blocks)) == block).collect()  # about QUERY_BLOCK / 2 rows
+        if rows:
+            listed = [(r.q, np.asarray(r.v, dtype=np.float64), r.d) for r in rows]
+            out = out.unionByName(history.select(*cols).mapInPandas(
+                _partition_topk(listed, k, id_cols, carry, vec_col, before), schema))
+    salted = out.withColumn("__s", F.pmod(F.xxhash64(*id_cols), F.lit(SALTS)))
+    return _first_k(_first_k(salted, k, id_cols, "query_id", "__s"), k, id_cols, "query_id").select(
+        "query_id", *id_cols, *carry, "distance", "nn_rank")
 
 
 EVIDENCE_COLUMNS = ["vehicle_id", "date", "route_type", "duty_cycle", "dtc_count_today", "spc_alert_today",
@@ -87,23 +92,20 @@ def similar_cases(history: DataFrame, query_rows: DataFrame, pre, n_cases: int =
     ``query_rows`` carries vehicle_id, date and queue_rank. ``postfilter`` (the
     reference behaviour) takes the nearest ``candidates`` over all history, then
     keeps rows before the query date and not the query itself, so it may return
-    fewer than ``n_cases``; ``prefilter`` restricts the history first.
+    fewer than ``n_cases``; ``prefilter`` looks only at rows before each query's
+    own date.
     """
-    feats = pre.array()
-    hist = history.select("vehicle_id", "date", feats.alias("features"))
-    qs = query_rows.select(F.col("vehicle_id").alias("query_id"), feats.alias("features"))
-    if mode == "prefilter":
-        qdate = query_rows.agg(F.max("date")).scalar()
-        hist = hist.filter(F.col("date") < qdate)
-    nn = knn(hist, qs, candidates)
-    meta = history.select(*[c for c in EVIDENCE_COLUMNS if c not in ("similarity", "distance")])
-    qinfo = query_rows.select(F.col("vehicle_id").alias("query_id"), F.col("date").alias("query_date"), "queue_rank")
-    j = (nn.join(F.broadcast(qinfo), "query_id")
+    carry = [c for c in EVIDENCE_COLUMNS if c not in ("similarity", "distance", "vehicle_id", "date")]
+    feats = pre.array().alias("features")
+    hist = history.select("vehicle_id", "date", *carry, feats)
+    qs = query_rows.select(F.col("vehicle_id").alias("query_id"), "date", feats)
+    nn = knn(hist, qs, candidates, carry=carry, before="date" if mode == "prefilter" else None)
+    qinfo = query_rows.select(F.col("vehicle_id").cast("string").alias("query_id"), F.col("date").alias("query_date"), "queue_rank")
+    j = (nn.join(qinfo, "query_id")
          .filter((F.col("date") < F.col("query_date"))
                  & ~((F.col("vehicle_id") == F.col("query_id")) & (F.col("date") == F.col("query_date")))))
     w = Window.partitionBy("query_id").orderBy(F.col("distance"), "vehicle_id", "date")
-    top = j.withColumn("evidence_rank", F.row_number().over(w)).filter(F.col("evidence_rank") <= n_cases)
-    out = top.join(meta, ["vehicle_id", "date"], "left")
+    out = j.withColumn("evidence_rank", F.row_number().over(w)).filter(F.col("evidence_rank") <= n_cases)
     return out.select(F.col("query_id").alias("query_vehicle_id"), "queue_rank", "evidence_rank",
                       *[c for c in EVIDENCE_COLUMNS if c not in ("similarity", "distance")],
                       (F.lit(1.0) / (F.lit(1.0) + F.col("distance"))).alias("similarity"), "distance")

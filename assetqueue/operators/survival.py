@@ -10,19 +10,20 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from assetqueue.functions.quantile import column_medians
+
 Z95 = 1.959963984540054  # standard normal quantile at 0.975
 
 
-def duty_groups(surv: DataFrame, col: str = "duty_cycle_mean", approx: bool = False) -> DataFrame:
-    """Median split: >= median -> high_duty, else low_duty (median is a scalar subquery).
+def duty_groups(surv: DataFrame, col: str = "duty_cycle_mean") -> DataFrame:
+    """Median split: >= median -> high_duty, else low_duty (exact two-pass median).
 
     Values are snapped to 1e-9 first: means of equal values summed in a
     different order (another partitioning) must land in the same group.
     """
-    snapped = F.floor(F.col(col) * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)
-    s = surv.withColumn("__snap", snapped)
-    med = s.agg(F.percentile_approx("__snap", 0.5, 10000) if approx else F.median("__snap")).scalar()
-    return s.withColumn("duty_group", F.when(F.col("__snap") >= med, "high_duty").otherwise("low_duty")).drop("__snap")
+    s = surv.withColumn("__snap", F.floor(F.col(col) * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9))
+    med = column_medians(s, ["__snap"])["__snap"]
+    return s.withColumn("duty_group", F.when(F.col("__snap") >= F.lit(med), "high_duty").otherwise("low_duty")).drop("__snap")
 
 
 def kaplan_meier(surv: DataFrame, group: str = "duty_group", duration: str = "duration_days",
@@ -108,18 +109,39 @@ def _efron(tab, p: int):
     xs = np.stack([tab[f"x_{i}"].to_numpy() for i in range(p)], axis=1)
     ll, g, h = float(tab["xb"].sum()), xs.sum(axis=0), np.zeros((p, p))
     for k in np.nonzero(d > 0)[0]:
-        dk = int(round(d[k]))
-        for l in range(dk):
-            a = l / dk
-            phi = s0[k] - a * s0d[k]
-            v1 = s1[k] - a * s1d[k]
-            v2 = s2[k] - a * s2d[k]
-            ll -= np.log(phi)
-            g = g - v1 / phi
-            h = h - (v2 / phi - np.outer(v1, v1) / phi ** 2)
+        n = int(round(d[k]))
+        # the j-th tied event leaves phi = c * (a - j) at risk; sums over j need only
+        # log phi, 1 / phi and 1 / phi^2, the rest of each term does not depend on j
+        c, a = s0d[k] / n, s0[k] * n / s0d[k]
+        logs, inv, inv2 = tie_sums(a, n)
+        ll -= n * np.log(c) + logs
+        u, w = s1[k] - (a / n) * s1d[k], s1d[k] / s0d[k]
+        u2, w2 = s2[k] - (a / n) * s2d[k], s2d[k] / s0d[k]
+        h1, h2 = inv / c, inv2 / c ** 2
+        g = g - (u * h1 + n * w)
+        h = h - (u2 * h1 + n * w2) + np.outer(u, u) * h2 + (np.outer(u, w) + np.outer(w, u)) * h1 + n * np.outer(w, w)
     return ll, g, h
 
 
+def tie_sums(a: float, n: int, direct: int = 4096):
+    """Sums of log(a - j), 1 / (a - j), 1 / (a - j)^2 over j < n.
+
+    Added up term by term for up to ``direct`` ties; beyond, the smallest
+    ``direct`` terms are added up and the Euler-Maclaurin formula gives the
+    rest, so the work does not grow with the number of ties.
+    """
+    import numpy as np
+
+    x = a - np.arange(max(0, n - direct), n, dtype=float)
+    out = [np.log(x).sum(), (1 / x).sum(), (1 / x ** 2).sum()]
+    if n > direct:
+        lo, hi = a - (n - direct - 1), a  # the whole steps from lo to hi
+        out[0] += hi * np.log(hi) - hi - lo * np.log(lo) + lo + (np.log(lo) + np.log(hi)) / 2 + (1 / hi - 1 / lo) / 12
+        out[1] += np.log(hi / lo) + (1 / lo + 1 / hi) / 2 + (1 / lo ** 2 - 1 / hi ** 2) / 12
+        out[2] += 1 / lo - 1 / hi + (1 / lo ** 2 + 1 / hi ** 2) / 2 + (1 / lo ** 3 - 1 / hi ** 3) / 6
+    return out
+
+
 def cox_ph(surv: DataFrame, covariates=("duty_cycle_mean", "ambient_temp_mean", "temp_extreme_share",
                                         "dtc_rate_mean", "spc_alert_share"),
            penalizer: float = 0.05, min_var: float = 1e-4, duration: str = "duration_days",
@@ -132,6 +154,7 @@ def cox_ph(surv: DataFrame, covariates=("duty_cycle_mean", "ambient_temp_mean",
     duration (pre-aggregated before the cumulative sums). Coefficients and
     standard errors are reported on the original scale. Returns a note row
     when there are no events or no covariate survives the variance screen.
+    ``converged`` is false where ``max_iter`` steps did not reach ``tol``.
     """
     import numpy as np
 
@@ -142,12 +165,12 @@ def cox_ph(surv: DataFrame, covariates=("duty_cycle_mean", "ambient_temp_mean",
                   *[F.stddev_samp(c).alias(f"s_{i}") for i, c in enumerate(covs)],
                   *[F.var_samp(c).alias(f"v_{i}") for i, c in enumerate(covs)]).first()
     note_schema = ("covariate string, coef double, se_coef double, p double, hazard_ratio double, "
-                   "hr_ci95_low double, hr_ci95_high double, note string")
+                   "hr_ci95_low double, hr_ci95_high double, converged boolean, note string")
     if not st["n"] or not st["ev"]:
-        return spark.createDataFrame([(None,) * 7 + ("No events available for Cox model (no work orders).",)], note_schema)
+        return spark.createDataFrame([(None,) * 7 + (False, "no asset has a work order: nothing to model")], note_schema)
     keep = [i for i in range(len(covs)) if (st[f"v_{i}"] or 0.0) >= min_var]
     if not keep:
-        return spark.createDataFrame([(None,) * 7 + ("All Cox covariates were near-constant; nothing to fit.",)],
+        return spark.createDataFrame([(None,) * 7 + (False, "every covariate is nearly constant: nothing to model")],
                                      note_schema)
     covs = [covs[i] for i in keep]
     means = [float(st[f"m_{i}"]) for i in keep]
@@ -160,6 +183,8 @@ def cox_ph(surv: DataFrame, covariates=("duty_cycle_mean", "ambient_temp_mean",
         ll, g, h = _efron(tab, p)
         return (ll - 0.5 * n * penalizer * float(b @ b), g - n * penalizer * b, h - n * penalizer * np.eye(p))
 
+    surv = surv.select(*covs, duration, event).persist()  # every step reads it
+    converged = False
     try:
         ll, g, h = objective(beta)
         for _ in range(max_iter):
@@ -174,15 +199,18 @@ def cox_ph(surv: DataFrame, covariates=("duty_cycle_mean", "ambient_temp_mean",
                 halve += 1
             beta, ll, g, h = cand, ll_c, g_c, h_c
             if np.max(np.abs(step)) < tol:
+                converged = True
                 break
         cov = np.linalg.inv(-h)
-    except Exception as e:  # noqa: BLE001 - reported as a note row, like the reference
-        return spark.createDataFrame([(None,) * 7 + (f"Cox fit failed: {type(e).__name__}: {e}",)], note_schema)
+    except np.linalg.LinAlgError as e:  # reported as a note row
+        return spark.createDataFrame([(None,) * 7 + (False, f"the fit broke off: {type(e).__name__}: {e}")], note_schema)
+    finally:
+        surv.unpersist()
     coef = beta / np.array(stds)
     se = np.sqrt(np.diag(cov)) / np.array(stds)
     rows = []
     for c, b, s in zip(covs, coef, se):
         zval = b / s if s > 0 else float("nan")
         rows.append((c, float(b), float(s), float(2.0 * _normal_sf(abs(zval))), float(math.exp(b)),
-                     float(math.exp(b - Z95 * s)), float(math.exp(b + Z95 * s)), None))
+                     float(math.exp(b - Z95 * s)), float(math.exp(b + Z95 * s)), converged, None))
     return spark.createDataFrame(rows, note_schema)

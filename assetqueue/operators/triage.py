@@ -29,10 +29,6 @@ def latest_day(panel: DataFrame, as_of=None, date: str = "date") -> DataFrame:
     return panel.filter(F.col(date) == F.lit(d))
 
 
-def _median(c: str, cfg: Config) -> F.Column:
-    return F.percentile_approx(c, 0.5, cfg.approx_accuracy) if cfg.approx else F.median(c)
-
-
 def dominant_subsystem(dtc: DataFrame, as_of, lookback_days: int = 30, as_of_bound: bool = False) -> DataFrame:
     """A13 + W1: most frequent DTC subsystem per asset since ``as_of - lookback``.
 
@@ -54,10 +50,12 @@ def dominant_subsystem(dtc: DataFrame, as_of, lookback_days: int = 30, as_of_bou
 
 
 def work_order_medians(wo: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Median downtime and lead time per subsystem (NULL subsystem dropped)."""
+    """Median downtime and lead time per subsystem (NULL subsystem dropped).
+
+    Whole days, bounded by the gate: few distinct values in a median's buffer."""
     return (wo.filter(F.col("subsystem").isNotNull()).groupBy("subsystem")
-            .agg(_median("downtime_days", cfg).cast("double").alias("downtime_med"),
-                 _median("parts_lead_time_days", cfg).cast("double").alias("lead_med")))
+            .agg(F.median("downtime_days").cast("double").alias("downtime_med"),
+                 F.median("parts_lead_time_days").cast("double").alias("lead_med")))
 
 
 def median_defaults(meds: DataFrame, cfg: Config = DEFAULT):

@@ -9,15 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-HISTORY_COLUMNS = ["vehicle_id", "date", "route_type", "duty_cycle", "dtc_count_today", "spc_alert_today",
-                   "breakdown_7d", "breakdown_30d"]
-TREND_SIGNALS = ["coolant_temp_max_c", "egt_max_c", "battery_v_min", "dpf_delta_p_avg_kpa"]
+from assetqueue.functions import expressions as X
+
+# fixed values: the history projection (P22) and the default trend signals (U4); no labels in a live view
+HISTORY_COLUMNS = ["vehicle_id", "date", "route_type", "duty_cycle", "ambient_temp_c", "dtc_count_today", "spc_alert_today",
+                   "risk_pct", "risk_band"]
+TREND_SIGNALS = ["coolant_temp_max_c", "egt_max_c", "battery_v_min"]
 
 
 def chosen(ids: DataFrame, key: str = "vehicle_id") -> DataFrame:
-    """A chosen-asset table (e.g. the top-K queue). Its size is bounded by K,
-    so it is broadcast."""
-    return F.broadcast(ids.select(key).distinct())
+    """The distinct chosen assets. Their number is the caller's, so the join
+    strategy is left to Spark's run-time size check."""
+    return ids.select(key).distinct()
 
 
 def vehicle_events(dtc: DataFrame, ids: DataFrame) -> DataFrame:
@@ -42,9 +45,14 @@ def recent_rows(df: DataFrame, n: int, order_cols, key: str = "vehicle_id") -> D
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
 
 
-def recent_context(panel: DataFrame, n: int = 14) -> DataFrame:
-    """Last n rows of context per asset (history projection P22)."""
-    return recent_rows(panel.select(*HISTORY_COLUMNS), n, [F.col("date").desc()])
+def with_risk_texts(scored: DataFrame) -> DataFrame:
+    """Risk in percent and its band for every scored row."""
+    return scored.withColumn("risk_pct", X.risk_pct("risk_score")).withColumn("risk_band", X.risk_band("risk_score"))
+
+
+def recent_context(scored: DataFrame, n: int = 14) -> DataFrame:
+    """Last n rows of context per asset (history projection P22) of a scored panel."""
+    return recent_rows(with_risk_texts(scored).select(*HISTORY_COLUMNS), n, [F.col("date").desc()])
 
 
 def recent_events(dtc: DataFrame, n: int = 50) -> DataFrame:
@@ -106,10 +114,11 @@ def risk_cost_points(snap: DataFrame) -> DataFrame:
 
 
 def risk_cost_grid(snap: DataFrame, bins: int = 10) -> DataFrame:
-    """A19 at scale: 2-D binned counts (risk bin x cost decile edges)."""
+    """A19 at scale: 2-D counts over equal-width bins of risk (0 to 1) and cost
+    (0 to the largest cost; all in bin 0 where every cost is 0)."""
     x = F.least(F.floor(F.col("risk_score") * bins).cast("int"), F.lit(bins - 1))
     hi = snap.agg(F.max("cost_score")).scalar()
-    y = F.least(F.floor(F.col("cost_score") / hi * bins).cast("int"), F.lit(bins - 1))
+    y = F.when(hi > 0, F.least(F.floor(F.try_divide(F.col("cost_score"), hi) * bins).cast("int"), F.lit(bins - 1))).otherwise(F.lit(0))
     return snap.groupBy(x.alias("risk_bin"), y.alias("cost_bin")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -82,7 +82,7 @@ def precision_at_k_mean_q(spark, sf_dir):
           with_fixtures(AP_BODY, extra_ctes=PREDS_ALL + "," + RANKED))
 def average_precision_q(spark, sf_dir):
     """M9: average precision over distinct thresholds."""
-    return M.average_precision(fixture_predictions(spark, sf_dir), n_buckets=16)
+    return M.average_precision(fixture_predictions(spark, sf_dir))
 
 
 @register("brier", "horizon_days:i model:s brier:f", with_fixtures(
@@ -99,7 +99,7 @@ SELECT DISTINCT horizon_days, model, proba AS threshold, tp_at / n_at AS precisi
 UNION ALL SELECT DISTINCT horizon_days, model, NULL, 1e0, 0e0 FROM preds""", extra_ctes=PREDS_ALL + "," + RANKED))
 def pr_curve_q(spark, sf_dir):
     """M11."""
-    return M.pr_curve(fixture_predictions(spark, sf_dir), n_buckets=16)
+    return M.pr_curve(fixture_predictions(spark, sf_dir))
 
 
 @register("calibration_curve", "horizon_days:i model:s bin:i prob_true:f prob_pred:f n:i", with_fixtures("""
@@ -117,7 +117,7 @@ def calibration_curve_q(spark, sf_dir):
           with_fixtures("SELECT * FROM met", extra_ctes=METRICS_CTES))
 def risk_metrics_q(spark, sf_dir):
     """M13 metrics table on the test split (6 days)."""
-    return M.risk_metrics(fixture_predictions(spark, sf_dir, split="test"), 10, n_buckets=16)
+    return M.risk_metrics(fixture_predictions(spark, sf_dir, split="test"), 10)
 
 
 @register("headline_model", "task:s model:s auprc:f brier_of_best:f best_brier:f", with_fixtures("""
@@ -125,4 +125,4 @@ SELECT task, model, auprc, brier AS brier_of_best, (SELECT min(brier) FROM met)
 FROM met ORDER BY auprc DESC NULLS LAST, task, model LIMIT 1""", extra_ctes=METRICS_CTES))
 def headline_model_q(spark, sf_dir):
     """A21 (+ Q5: best Brier reported separately)."""
-    return M.headline_model(M.risk_metrics(fixture_predictions(spark, sf_dir, split="test"), 10, n_buckets=16))
+    return M.headline_model(M.risk_metrics(fixture_predictions(spark, sf_dir, split="test"), 10))

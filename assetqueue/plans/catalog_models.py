@@ -13,14 +13,14 @@ from assetqueue.operators import survival as S
 from assetqueue.operators import triage as TR
 from assetqueue.plans.catalog_explore import fixture_survival
 from assetqueue.plans.registry import register
+from assetqueue.sources.fixture_sql import with_fixtures
 from assetqueue.sources import fixtures as FX
 
 CFG = FIXTURE.with_(horizons=(7, 30))
 
 
-def _train(spark, sf_dir, models=("logreg",), gbt_iter=20):
-    panel = FX.fx_panel(spark, sf_dir)
-    return MD.train_models(panel, CFG, models=models, gbt_iter=gbt_iter)
+def _train(spark, sf_dir, models=("logreg",)):
+    return MD.train_models(FX.fx_panel(spark, sf_dir), CFG, models=models)
 
 
 @register("risk_logreg", "horizon_days:i model:s calibrated:i vehicle_id:s date:d y_true:i proba:f", check="PY")
@@ -31,14 +31,14 @@ def risk_logreg_q(spark, sf_dir):
 
 @register("risk_gbt", "horizon_days:i model:s calibrated:i vehicle_id:s date:d y_true:i proba:f")
 def risk_gbt_q(spark, sf_dir):
-    """M7 + M8: boosted trees (20 rounds in the check), calibrated, test predictions."""
-    return _train(spark, sf_dir, ("hgb",), 20)["predictions"]
+    """M7 + M8: boosted trees (the configured rounds), calibrated, test predictions."""
+    return _train(spark, sf_dir, ("hgb",))["predictions"]
 
 
 @register("train_report", "task:s model:s calibrated:i auprc:f brier:f precision_at_k_mondays_mean:f")
 def train_report_q(spark, sf_dir):
     """Metrics table of 2 horizons x 2 models."""
-    return _train(spark, sf_dir, ("logreg", "hgb"), 20)["metrics"]
+    return _train(spark, sf_dir, ("logreg", "hgb"))["metrics"]
 
 
 @register("score_snapshot", "vehicle_id:s date:d risk_score:f")
@@ -62,7 +62,7 @@ def ood_flags_q(spark, sf_dir):
     return out.select("vehicle_id", "date", "ood_score", "ood_flag")
 
 
-COX_SPEC = "covariate:s coef:f se_coef:f p:f hazard_ratio:f hr_ci95_low:f hr_ci95_high:f note:s"
+COX_SPEC = "covariate:s coef:f se_coef:f p:f hazard_ratio:f hr_ci95_low:f hr_ci95_high:f converged:b note:s"
 
 
 @register("cox_summary", COX_SPEC, check="PY")
@@ -75,3 +75,33 @@ def cox_summary_q(spark, sf_dir):
 def top_hazards_q(spark, sf_dir):
     """Top-2 hazard ratios, kept if >= 1."""
     return S.top_hazards(S.cox_ph(fixture_survival(spark, sf_dir), penalizer=CFG.cox_penalizer))
+
+
+@register("calibrate", "horizon_days:i score:f calibrated:f", with_fixtures("""
+SELECT horizon_days, x AS score, max(m) AS calibrated FROM (
+  SELECT a.horizon_days, i.x, a.j, a.m FROM low a JOIN pts i ON i.horizon_days = a.horizon_days AND i.r = a.r AND a.j <= i.r)
+GROUP BY 1, 2""", extra_ctes="""
+pmin AS (SELECT min(date) AS s FROM fx_panel),
+val AS (SELECT * FROM fx_panel, pmin WHERE date > s + 17 AND date <= s + 23),
+lab AS (SELECT 7 AS horizon_days, risk_score AS x, breakdown_7d AS y FROM val
+        UNION ALL SELECT 30, risk_score, breakdown_30d FROM val),
+pts AS (SELECT horizon_days, x, row_number() OVER (PARTITION BY horizon_days ORDER BY x) AS r,
+               sum(sum(y)) OVER (PARTITION BY horizon_days ORDER BY x) AS sy, sum(count(*)) OVER (PARTITION BY horizon_days ORDER BY x) AS n
+        FROM lab GROUP BY horizon_days, x),
+av AS (SELECT j.horizon_days, j.r AS j, k.r,
+              (k.sy - coalesce(b.sy, 0)) / CAST(k.n - coalesce(b.n, 0) AS DOUBLE) AS a
+       FROM pts j JOIN pts k ON k.horizon_days = j.horizon_days AND k.r >= j.r
+       LEFT JOIN pts b ON b.horizon_days = j.horizon_days AND b.r = j.r - 1),
+low AS (SELECT horizon_days, j, r, min(a) OVER (PARTITION BY horizon_days, j ORDER BY r DESC) AS m FROM av)"""))
+def calibrate_q(spark, sf_dir):
+    """M8: isotonic calibration of the surrogate score on the validation slice, at every score of the slice."""
+    panel = FX.fx_panel(spark, sf_dir)
+    val = FE.with_split(panel, FE.split_bounds(panel, CFG)).filter("split = 'val'")
+    out = None
+    for h in CFG.horizons:
+        rows = val.select("risk_score", F.col(f"breakdown_{h}d").cast("double").alias("y"))
+        fitted = MD.fit_isotonic(rows, "risk_score", "y")
+        one = fitted.transform(rows.select("risk_score").distinct()).select(
+            F.lit(h).alias("horizon_days"), F.col("risk_score").alias("score"), F.col("iso_pred").alias("calibrated"))
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -21,12 +21,12 @@ DIMS = [f"num__{c}" for c in NUM] + [f"cat__route_type_{lv}" for lv in LEVELS]
 
 
 def fixture_evidence(spark, sf_dir, mode="postfilter"):
-    snap, _ = fixture_snapshot(spark, sf_dir)
+    snap, as_of = fixture_snapshot(spark, sf_dir)
     panel = FX.fx_panel(spark, sf_dir)
     pre = FE.fit_preprocessor(FE.train_slice(panel, CFG), CFG)
     queue = TR.service_queue(snap, CFG.k_queue, "cost").filter(F.col("queue_rank") <= CFG.evidence_queries)
-    qrows = panel.join(F.broadcast(queue.select("vehicle_id", "queue_rank")), "vehicle_id").join(
-        F.broadcast(snap.select("vehicle_id", "date").distinct()), ["vehicle_id", "date"], "left_semi")
+    # the queue is K rows by its limit
+    qrows = panel.filter(F.col("date") == F.lit(as_of)).join(F.broadcast(queue.select("vehicle_id", "queue_rank")), "vehicle_id")
     return SM.similar_cases(panel, qrows, pre, CFG.evidence_rows, CFG.knn_candidates, mode)
 
 

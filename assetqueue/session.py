@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -25,24 +24,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ass
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint dir; set a scratch one only if none is set.
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The checkpoint folder the cluster names (``spark.checkpoint.dir``), or None.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder; we never
-    override it. Only a bare local session (tests) gets a fresh temp folder.
+    Only a configured, shared folder is used: a machine-local one would be lost
+    with its executor.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
+    if not sc.getCheckpointDir() and conf:
         sc.setCheckpointDir(conf)
-        return conf
-    path = tempfile.mkdtemp(prefix="assetqueue-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    return sc.getCheckpointDir()

@@ -1,4 +1,4 @@
 from assetqueue.sources.tables import (  # noqa: F401
     read_required, read_optional, parse_dates, require_parsed, drop_invalid_dates,
-    write_table, write_report, save_model, load_models, stamp_results, latest_results,
+    write_table, write_report, save_model, load_model, load_models, normalised, stamp_results, latest_results,
 )

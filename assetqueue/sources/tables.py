@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import json
+from dataclasses import asdict
 from typing import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+
+from assetqueue.schemas import empty_string_to_null, nan_to_null
 
 
 def _reader(spark: SparkSession, schema: T.StructType | None, fmt: str):
@@ -30,8 +35,13 @@ def read_required(spark: SparkSession, path: str, schema: T.StructType | None =
         if schema is not None:
             present = [f.name for f in schema.fields if f.name in df.columns]
             df = df.select(*present)
-        return df
-    return _reader(spark, schema, fmt).load(path)
+        return normalised(df)
+    return normalised(_reader(spark, schema, fmt).load(path))
+
+
+def normalised(df: DataFrame) -> DataFrame:
+    """NaN and "" become NULL: absent values have one form in every check and expression."""
+    return empty_string_to_null(nan_to_null(df), [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
@@ -103,9 +113,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: It
 
 
 def write_report(spark: SparkSession, report: dict, path: str) -> None:
-    """A key/value report as a one-row JSON table."""
-    df = spark.createDataFrame([(json.dumps(report, default=str),)], "value string")
-    df.coalesce(1).write.mode("overwrite").text(path)
+    """A flat key/value report as a one-row JSON table with typed columns."""
+    spark.createDataFrame([Row(**report)]).coalesce(1).write.mode("overwrite").json(path)
 
 
 def stamp_results(df: DataFrame, snapshot_date, horizon: int, model: str, ranking: str,
@@ -127,26 +136,43 @@ def stamp_results(df: DataFrame, snapshot_date, horizon: int, model: str, rankin
 def latest_results(stamped: DataFrame, keys=("horizon", "model", "ranking")) -> DataFrame:
     """The latest run per (horizon, model, ranking): rows with the max run_ts.
 
-    One aggregate over the (small) run keys, then a broadcast semi-join; on a
-    table partitioned by snapshot_date the scan prunes to those partitions.
+    One aggregate over the (small) run keys, then a semi-join; on a table
+    partitioned by snapshot_date the scan prunes to those partitions.
     """
     latest = stamped.groupBy(*keys).agg(F.max("run_ts").alias("run_ts"))
-    return stamped.join(F.broadcast(latest), [*keys, "run_ts"], "left_semi")
+    return stamped.join(latest, [*keys, "run_ts"], "left_semi")
+
 
+def save_model(spark: SparkSession, model, preprocessor, path: str) -> None:
+    """A calibrated model and its preprocessor under ``path``.
+
+    ``base`` and ``calibrator`` are MLlib's own model folders; ``manifest`` is a
+    one-row JSON table with the calibration's kind and the preprocessor's parameters.
+    """
+    model.model.write().overwrite().save(f"{path}/base")
+    if model.calibrator is not None:
+        model.calibrator.write().overwrite().save(f"{path}/calibrator")
+    write_report(spark, {"kind": model.kind, "preprocessor": json.dumps(asdict(preprocessor))}, f"{path}/manifest")
 
-def save_model(model, path: str) -> None:
-    """Persist a fitted Spark ML model under e.g. ``risk/h=30/model=gbt``."""
-    model.write().overwrite().save(path)
 
+def load_model(spark: SparkSession, path: str):
+    """(calibrated model, preprocessor) as saved; MLlib's metadata name the class of each part."""
+    from assetqueue.operators.features import Preprocessor
+    from assetqueue.operators.models import Calibrated
 
-def load_models(paths: dict) -> dict:
-    """Load models by key; unreadable ones are skipped (reported as None)."""
-    from pyspark.ml import PipelineModel
+    manifest = spark.read.json(f"{path}/manifest").first()
+    parts = {k: tuple(v) if isinstance(v, list) else v for k, v in json.loads(manifest["preprocessor"]).items()}
+    load = lambda p: DefaultParamsReader.loadParamsInstance(p, spark)
+    calibrator = load(f"{path}/calibrator") if manifest["kind"] != "none" else None
+    return Calibrated(load(f"{path}/base"), calibrator, manifest["kind"]), Preprocessor(**parts)
 
-    out = {}
+
+def load_models(spark: SparkSession, paths: dict):
+    """({key: (model, preprocessor)}, {key: why}) - unreadable ones are skipped and reported."""
+    out, skipped = {}, {}
     for key, p in paths.items():
         try:
-            out[key] = PipelineModel.load(p)
-        except Exception:  # noqa: BLE001 - a broken artifact must not stop the others
-            out[key] = None
-    return out
+            out[key] = load_model(spark, p)
+        except (AnalysisException, Py4JJavaError, ValueError, KeyError, TypeError, AttributeError) as e:
+            skipped[key] = f"{type(e).__name__}: {str(e).splitlines()[0]}"
+    return out, skipped

@@ -99,7 +99,7 @@ def test_histogram_min_equals_max(spark):
 def test_average_precision_all_equal_scores(spark):
     pred = spark.createDataFrame([(7, "m", 1, 0.5), (7, "m", 0, 0.5), (7, "m", 0, 0.5), (7, "m", 1, 0.5)],
                                  "horizon_days int, model string, y_true int, proba double")
-    ap = M.average_precision(pred, n_buckets=4).first()["auprc"]
+    ap = M.average_precision(pred, bucket_rows=30).first()["auprc"]
     assert ap == pytest.approx(0.5)
 
 
@@ -110,7 +110,7 @@ def test_average_precision_matches_numpy(spark):
     p = np.round(rng.random(300), 2)
     pred = spark.createDataFrame([(7, "m", int(a), float(b)) for a, b in zip(y, p)],
                                  "horizon_days int, model string, y_true int, proba double")
-    got = M.average_precision(pred, n_buckets=8).first()["auprc"]
+    got = M.average_precision(pred, bucket_rows=30).first()["auprc"]
     order = np.argsort(-p, kind="mergesort")
     thr = np.unique(p)[::-1]
     ap, prev_r = 0.0, 0.0
