@@ -6,7 +6,12 @@ signature whose matching rate, corrected for chance collisions, estimates the
 similarity. Candidates whose estimate is far below the threshold go; all others
 are confirmed on full sets. Groups are found by rounds in which each bucket
 tests a bounded block of its members (leaders) against the rest, so that
-neither all pairs of a bucket nor a whole bucket is ever gathered.
+neither all pairs of a bucket nor a whole bucket is ever gathered. Before that,
+members of the open buckets meet over their rare shingles: by the prefix rule a
+linked pair shares one of the first few of either in order of frequency. A pair
+that shares none of the rare ones has at most its frequent shingles in common,
+and members too far away by that bound leave the rounds. Leaders are those with
+the largest share of frequent shingles, the middle of a group, which unite it soonest.
 
 Cases: null, empty or blank text: empty set, linked with nothing. Fewer words
 than a shingle: the whole word sequence is the one element. Equal sets are one
@@ -24,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from assetqueue.llm.common import batch_words, broadcast_if_small, cut, mix64
 
 BANDS, ROWS, K, BITS = 25, 5, 128, 2  # 25 x 5: a pair at 0.85 shares no band once in 2 million
-LEADERS = 64
+LEADERS, RARE = 512, 32
 MAX_BROADCAST_IDS = 1_000_000
 
 _rng = np.random.default_rng(20240607)
@@ -201,22 +206,29 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width: in
     labels = _relabel(cut(reps.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("comp")).distinct()), links)
 
     # then every band: buckets that still hold several components, a block of leaders at a time
-    rows = reps.join(labels, reps.doc_id == labels.id).select("id", "comp", *sig_cols, F.explode("bands").alias("key"))
+    rows = reps.join(labels, reps.doc_id == labels.id).select("id", "comp", F.col("n_shingles").alias("n"), *sig_cols, F.explode("bands").alias("key"))
     live = _several(rows)
+    if not live.isEmpty():
+        spelled = _spelled(live, docs, width, percent)
+        pairs = _rare_pairs(live, spelled, floor)
+        if not pairs.isEmpty():
+            labels = _relabel(labels, confirmed(pairs, docs, width, percent))
+        live = live.drop("comp").join(spelled.select("id", "s"), "id").join(labels, "id")
+        live = _several(_reachable(_several(live), percent))
     while not live.isEmpty():
-        order = Window.partitionBy("key").orderBy("id")
-        first = live.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= LEADERS)
-        leaders = first.groupBy("key").agg(F.max("id").alias("last"),
-                                           F.collect_list(F.struct("id", "comp", *sig_cols)).alias("lead"))
-        me = F.struct(*sig_cols)
-        tested = live.join(leaders, "key")
-        found = F.filter("lead", lambda l: (l["id"] < F.col("id")) & (l["comp"] != F.col("comp")) & (estimate(l, me) >= floor))
+        own = live.withColumn("rank", F.struct((1 - F.col("s") / F.col("n")).alias("r"), "id"))
+        first = own.withColumn("rn", F.row_number().over(Window.partitionBy("key").orderBy("rank"))).where(F.col("rn") <= LEADERS)
+        leaders = first.groupBy("key").agg(F.max("rank").alias("last"), F.collect_list(F.struct("rank", "id", "comp", "n", "s", *sig_cols)).alias("lead"))
+        me = F.struct("n", "s", *sig_cols)
+        tested = own.join(leaders, "key")
+        found = F.filter("lead", lambda l: (l["rank"] < F.col("rank")) & (l["comp"] != F.col("comp"))
+                         & (100 * _most(l, me) >= percent * (l["n"] + me["n"] - _most(l, me))) & (estimate(l, me) >= floor))
         pairs = cut(tested.select(F.col("id").alias("b"), F.explode(F.transform(found, lambda l: l["id"])).alias("a"))
                     .select("a", "b").distinct())
         if not pairs.isEmpty():
             labels = _relabel(labels, confirmed(pairs, docs, width, percent))
-        rest = live.join(leaders.select("key", "last"), "key").where(F.col("id") > F.col("last")).drop("last", "comp")
-        live = _several(rest.join(labels, "id"))
+        rest = own.join(leaders.select("key", "last"), "key").where(F.col("rank") > F.col("last")).drop("last", "comp", "rank")
+        live = _several(_reachable(_several(rest.join(labels, "id")), percent))
 
     of_class = classes.join(labels, "id").select("f0", "f1", "n_shingles", "comp")
     # a row is in its class; an id that occurs with several texts takes the smallest component of them
@@ -226,6 +238,53 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width: in
 
 
 def _several(rows: DataFrame) -> DataFrame:
-    """Rows (key, id, comp, ...) of the buckets with more than one component."""
+    """The rows of the buckets with more than one component."""
     many = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    return cut(rows.join(many, "key", "left_semi").select("key", "id", "comp", "s0", "s1", "s2", "s3").distinct())
+    return cut(rows.join(many, "key", "left_semi").distinct())
+
+
+def _most(x, y) -> Column:
+    """The most shingles that two members can share that share no rare one."""
+    return F.least(x["s"], y["s"])
+
+
+def _reachable(live: DataFrame, percent: int) -> DataFrame:
+    """Rows whose frequent shingles alone could reach the threshold with the smallest set of their bucket."""
+    least = live.groupBy("key").agg(F.min("n").alias("least"))
+    size = F.greatest("least", "s")  # the best partner is no smaller than what is shared, if it may be so small
+    return live.join(least, "key").where(100 * F.col("s") >= percent * (F.col("n") + size - F.col("s"))).drop("least")
+
+
+def _spelled(live: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, s, rare): of each member of ``live``, how many shingles are frequent, and the rare ones of its prefix.
+
+    Frequencies count members of ``live``; rare: in at most ``RARE`` of them. The
+    prefix of a set of n: its n - ceil(percent * n / 100) + 1 least frequent shingles.
+    """
+    ids = live.select(F.col("id").alias("doc_id")).distinct()
+    texts = docs.join(broadcast_if_small(ids, MAX_BROADCAST_IDS), "doc_id", "left_semi")
+
+    def run(batches):
+        for b in batches:
+            sets = [x.view(np.int64) for x in shingle_sets(b.column("text").to_pylist(), width)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "tokens"])
+
+    one = texts.groupBy("doc_id").agg(F.min("text").alias("text")).mapInArrow(run, "id long, tokens array<long>")
+    rows = one.select("id", F.explode("tokens").alias("token"))
+    rows = rows.join(rows.groupBy("token").agg(F.count("*").alias("df")), "token")
+    sets = rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    n = F.size("t")
+    prefix = F.slice("t", 1, n - F.ceil(n * percent / F.lit(100)).cast("int") + 1)
+    rare = F.transform(F.filter(prefix, lambda x: (x["df"] > 1) & (x["df"] <= RARE)), lambda x: x["token"])
+    return cut(sets.select("id", F.size(F.filter("t", lambda x: x["df"] > RARE)).cast("long").alias("s"), rare.alias("rare")))
+
+
+def _rare_pairs(live: DataFrame, spelled: DataFrame, floor: float) -> DataFrame:
+    """Pairs (a, b) of different components that share a rare shingle of both prefixes; at most RARE members a shingle."""
+    members = live.select("id", "comp", F.struct("s0", "s1", "s2", "s3").alias("sig")).distinct()
+    rows = spelled.select("id", F.explode("rare").alias("token")).join(members, "id")
+    lists = rows.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("id", "comp", "sig"))).alias("m")).where(F.size("m") > 1)
+    near = lambda x: F.transform(F.filter("m", lambda y: (y["id"] > x["id"]) & (y["comp"] != x["comp"])
+                                          & (estimate(x["sig"], y["sig"]) >= floor)), lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")))
+    found = F.array_distinct(F.flatten(F.transform("m", near)))
+    return cut(lists.select(F.explode(found).alias("p")).select("p.a", "p.b").distinct())
