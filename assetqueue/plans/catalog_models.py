@@ -79,20 +79,20 @@ def top_hazards_q(spark, sf_dir):
 
 @register("calibrate", "horizon_days:i score:f calibrated:f", with_fixtures("""
 SELECT horizon_days, x AS score, max(m) AS calibrated FROM (
-  SELECT a.horizon_days, i.x, a.j, a.m FROM low a JOIN pts i ON i.horizon_days = a.horizon_days AND i.r = a.r AND a.j <= i.r)
+  SELECT a.horizon_days, i.x, a.j, a.m FROM cal_low a JOIN cal_pts i ON i.horizon_days = a.horizon_days AND i.r = a.r AND a.j <= i.r)
 GROUP BY 1, 2""", extra_ctes="""
-pmin AS (SELECT min(date) AS s FROM fx_panel),
-val AS (SELECT * FROM fx_panel, pmin WHERE date > s + 17 AND date <= s + 23),
-lab AS (SELECT 7 AS horizon_days, risk_score AS x, breakdown_7d AS y FROM val
-        UNION ALL SELECT 30, risk_score, breakdown_30d FROM val),
-pts AS (SELECT horizon_days, x, row_number() OVER (PARTITION BY horizon_days ORDER BY x) AS r,
+cal_pmin AS (SELECT min(date) AS s FROM fx_panel),
+cal_val AS (SELECT * FROM fx_panel, cal_pmin WHERE date > s + 17 AND date <= s + 23),
+cal_lab AS (SELECT 7 AS horizon_days, risk_score AS x, breakdown_7d AS y FROM cal_val
+        UNION ALL SELECT 30, risk_score, breakdown_30d FROM cal_val),
+cal_pts AS (SELECT horizon_days, x, row_number() OVER (PARTITION BY horizon_days ORDER BY x) AS r,
                sum(sum(y)) OVER (PARTITION BY horizon_days ORDER BY x) AS sy, sum(count(*)) OVER (PARTITION BY horizon_days ORDER BY x) AS n
-        FROM lab GROUP BY horizon_days, x),
-av AS (SELECT j.horizon_days, j.r AS j, k.r,
+        FROM cal_lab GROUP BY horizon_days, x),
+cal_av AS (SELECT j.horizon_days, j.r AS j, k.r,
               (k.sy - coalesce(b.sy, 0)) / CAST(k.n - coalesce(b.n, 0) AS DOUBLE) AS a
-       FROM pts j JOIN pts k ON k.horizon_days = j.horizon_days AND k.r >= j.r
-       LEFT JOIN pts b ON b.horizon_days = j.horizon_days AND b.r = j.r - 1),
-low AS (SELECT horizon_days, j, r, min(a) OVER (PARTITION BY horizon_days, j ORDER BY r DESC) AS m FROM av)"""))
+       FROM cal_pts j JOIN cal_pts k ON k.horizon_days = j.horizon_days AND k.r >= j.r
+       LEFT JOIN cal_pts b ON b.horizon_days = j.horizon_days AND b.r = j.r - 1),
+cal_low AS (SELECT horizon_days, j, r, min(a) OVER (PARTITION BY horizon_days, j ORDER BY r DESC) AS m FROM cal_av)"""))
 def calibrate_q(spark, sf_dir):
     """M8: isotonic calibration of the surrogate score on the validation slice, at every score of the slice."""
     panel = FX.fx_panel(spark, sf_dir)
