@@ -21,6 +21,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -60,7 +61,14 @@ def terms_of(words) -> set:
     return out
 
 
-def features_of(text: str, lexicon: dict) -> list:
+def by_length(lexicon: dict) -> list:
+    """The lexicon's whole words, then its word beginnings by their length, as (length, {text: weight})."""
+    whole = {t: x for t, x in lexicon.items() if not t.endswith("~")}
+    return [(0, whole), *((n, {t[:n]: x for t, x in lexicon.items() if t.endswith("~") and len(t) == n + 1}) for n in PREFIXES)]
+
+
+def features_of(text: str, lexicon: dict, parts: list | None = None) -> list:
+    (_, whole), *prefixes = parts or by_length(lexicon)
     low = text.lower()
     words = LETTERS.findall(low)
     if not words:
@@ -68,7 +76,13 @@ def features_of(text: str, lexicon: dict) -> list:
     n, counts = len(words), Counter(words)
     weight = {}
     for w in counts:
-        best = max(lexicon.get(w, 0.0), *(lexicon.get(w[:k] + "~", 0.0) if len(w) > k else 0.0 for k in PREFIXES))
+        best = whole.get(w, 0.0)
+        for k, known in prefixes:
+            if len(w) <= k:
+                break
+            x = known.get(w[:k], 0.0)
+            if x > best:
+                best = x
         if best:
             weight[w] = best
     bad = {w for w in counts if w in INSULTS}
@@ -87,8 +101,10 @@ def features_of(text: str, lexicon: dict) -> list:
         plain = INNER.sub("", plain).translate(LEET)
         uncovered = max(0, sum(w in INSULTS or w in lexicon for w in LETTERS.findall(plain)) - insults - learned)
     size = len(text)
+    ascii_ = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    capitals = int(((ascii_ >= 65) & (ascii_ <= 90)).sum())
     return [insults / n, math.log1p(insults), learned / n, math.log1p(learned), total / n, max(weight.values(), default=0.0),
-            you / n, near / n, sum(map(str.isupper, text)) / size, sum(w.isupper() and len(w) > 2 for w in text.split()) / n,
+            you / n, near / n, capitals / size, sum(w.isupper() and len(w) > 2 for w in text.split()) / n,
             text.count("!") / size, text.count("?") / size, sum(text.count(c) for c in ".,;:!?*%&$#@") / size,
             len(MIXED.findall(low)) / n, len(STRETCHED.findall(low)) / n, len(SPELLED.findall(low)) / n, uncovered / n,
             math.log1p(n), sum(map(len, words)) / n]
@@ -141,10 +157,12 @@ def learn_lexicon(labelled: DataFrame) -> dict:
 
 
 def features(rows: DataFrame, lexicon: dict) -> DataFrame:
+    parts = by_length(lexicon)
+
     def run(batches):
         for batch in batches:
             for b in slices(batch):
-                vecs = [features_of(t, lexicon) for t in b.column("text").to_pylist()]
+                vecs = [features_of(t, lexicon, parts) for t in b.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), b.column("held_out"), pa.array(vecs, pa.list_(pa.float64()))],
                                                  names=["doc_id", "th", "held_out", "features"])
 
