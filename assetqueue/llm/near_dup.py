@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from assetqueue.llm.bpe import slices
 from assetqueue.llm.common import batch_words, broadcast_if_small, cut, mix64
 
 BANDS, ROWS, K, BITS = 25, 5, 128, 2  # 25 x 5: a pair at 0.85 shares no band once in 2 million
@@ -87,7 +88,7 @@ def signatures(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3
     """One row per row of ``docs``: set size, 128-bit set fingerprint, packed low bits, band keys."""
 
     def run(batches):
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             cols = {n: [] for n in ("n", "f0", "f1", "s0", "s1", "s2", "s3", "bands")}
             for s in shingle_sets(b.column(1).to_pylist(), width):
                 cols["n"].append(len(s))
@@ -143,7 +144,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
             .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a"))
 
     def run(batches):
-        for t in batches:
+        for t in (part for batch in batches for part in slices(batch)):
             left = t.column("ta").dictionary_encode()
             sets = list(shingle_sets(left.dictionary.to_pylist(), width))
             keep = []
@@ -265,7 +266,7 @@ def _spelled(live: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     texts = docs.join(broadcast_if_small(ids, MAX_BROADCAST_IDS), "doc_id", "left_semi")
 
     def run(batches):
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             sets = [x.view(np.int64) for x in shingle_sets(b.column("text").to_pylist(), width)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "tokens"])
 
