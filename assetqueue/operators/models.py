@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from assetqueue.config import Config, DEFAULT
 from assetqueue.operators import features as FE
 from assetqueue.operators import metrics as M
+from assetqueue.session import checkpoint_dir
 
 
 def vectorize(df: DataFrame, pre: FE.Preprocessor, keep=("vehicle_id", "date")) -> DataFrame:
@@ -40,6 +41,7 @@ def fit_logreg(train: DataFrame, label: str, cfg: Config = DEFAULT):
 def fit_gbt(train: DataFrame, label: str, cfg: Config = DEFAULT, max_iter: int | None = None):
     """M7: boosted trees, depth 3, step 0.05, weighted (same role and
     hyper-parameters as the reference learner, not the same numbers)."""
+    checkpoint_dir(train.sparkSession)  # hundreds of rounds: MLlib cuts the lineage every ten if it has a folder
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight",
                         maxIter=max_iter or cfg.gbt_max_iter, maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step,
                         maxBins=255, minInstancesPerNode=20, seed=cfg.seed)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -28,13 +29,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ass
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The checkpoint folder the cluster names (``spark.checkpoint.dir``), or None.
+    """The checkpoint folder: the one the cluster names (``spark.checkpoint.dir``).
 
-    Only a configured, shared folder is used: a machine-local one would be lost
-    with its executor.
+    Where none is named, a local session (one machine, as in tests) gets a
+    temporary folder and a cluster gets none: a machine-local folder there would
+    be lost with its executor.
     """
     sc = spark.sparkContext
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not sc.getCheckpointDir() and conf:
-        sc.setCheckpointDir(conf)
+    if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named or sc.master.split("[")[0] == "local":
+            sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="assetqueue-ckpt-"))
     return sc.getCheckpointDir()
