@@ -82,7 +82,7 @@ def read_records(path: str, first: int, count: int, stride: int = STRIDE) -> np.
 def materialise(docs: DataFrame, out_dir: str, id_col="doc_id", text_col="text", tokenizer: str | None = None,
                 stride: int = STRIDE, shard_records: int = SHARD_RECORDS, key: int = KEY) -> DataFrame:
     """Write the shards; one row per sequence: doc_id, start, n_ids, slot, shard, record, ids_crc32, path."""
-    path = tokenizer or default_path("byte_bpe_50k.json")
+    path = tokenizer or default_path("byte_bpe_50k.tiktoken")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def count(batches):

@@ -28,6 +28,9 @@ def test_cached_ids_are_the_library_s():
     enc = bpe.Encoder(bpe.default_path("byte_bpe_50k.json"))
     for t in texts(4000, 30, 1):
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == enc.lib.encode(t, add_special_tokens=False).ids, t
+    ranks = bpe.RankEncoder(bpe.default_path("byte_bpe_50k.tiktoken"))
+    for t in texts(2000, 30, 7):
+        assert np.frombuffer(ranks.encode(t), "<u4").tolist() == ranks.lib.encode_ordinary(t), t
     other = bpe.Encoder(bpe.default_path("word_bpe_49k.json"))
     assert not other.cuts
     assert np.frombuffer(other.encode("Hello  there"), "<u4").tolist() == other.lib.encode("Hello  there", add_special_tokens=False).ids
@@ -96,8 +99,8 @@ def test_feistel_is_a_permutation(n):
 def test_shards_round_trip(spark, tmp_path):
     values = [None, "", "b", "b", *texts(50, 3000, 8)]
     out = token_output.materialise(frame(spark, values).repartition(3), str(tmp_path / "s"), shard_records=40).collect()
-    lib = bpe.Encoder(bpe.default_path("byte_bpe_50k.json")).lib
-    ids = [lib.encode(t or "", add_special_tokens=False).ids + [0] for t in values]
+    lib = bpe.RankEncoder(bpe.default_path("byte_bpe_50k.tiktoken")).lib
+    ids = [lib.encode_ordinary(t or "") + [0] for t in values]
     assert sorted(r.slot for r in out) == list(range(len(out))) and len(out) == sum(-(-len(x) // 256) for x in ids)
     for r in out:
         assert (r.shard, r.record) == divmod(r.slot, 40)
