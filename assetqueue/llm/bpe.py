@@ -1,4 +1,4 @@
-"""Byte-level BPE ids by the ``tokenizers`` library, with a bounded cache of words.
+"""Byte-level BPE ids by ``tokenizers`` (.json) or ``tiktoken`` (.tiktoken), with a bounded cache of words.
 
 The pre-tokenizer's pattern never joins a non-space to a following space, so a
 text may be cut before every single space that follows a non-space; each part
@@ -15,7 +15,7 @@ from array import array
 
 IRREGULAR = re.compile(r"\s \s|\s \Z|  ")
 _LETTERS_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]*)")
-MAX_CACHED, MAX_WORD = 400_000, 200
+MAX_CACHED, MAX_EDGES, MAX_WORD = 1_000_000, 100_000, 200
 
 
 def default_path(name: str) -> str:
@@ -35,13 +35,24 @@ _CHARACTERS = _byte_characters()
 
 
 class _Words(dict):
-    """Word -> ids as bytes; a missing one is encoded behind ``lead``."""
+    """Word -> ids as bytes; a missing one is encoded behind ``lead``.
+
+    Two generations: a full one becomes the old one, and words met again come back from it.
+    """
 
     def __init__(self, lead: str, owner: "Encoder"):
         super().__init__()
-        self.lead, self.owner = lead, owner
+        self.lead, self.owner, self.old = lead, owner, {}
+
+    def turn(self):
+        if len(self) > MAX_CACHED // 2:
+            self.old = dict(self)
+            self.clear()
 
     def __missing__(self, word: str) -> bytes:
+        if word in self.old:
+            self[word] = out = self.old[word]
+            return out
         m = _LETTERS_MARKS.fullmatch(word)
         if m and m[1].isalpha():  # one run of letters is one unit of the pattern, and marks after it another
             if m[2]:
@@ -101,8 +112,10 @@ class Encoder:
         text = text or ""
         if not self.cuts or any(s in text for s in self.special):
             return self.whole(text)
-        if len(self.first) + len(self.later) > MAX_CACHED:
+        if len(self.edges) > MAX_EDGES:
             self._reset()
+        self.later.turn()
+        self.first.turn()
         head, *rest = text.split(" ")
         out = self.first[head] + b"".join(map(self.later.__getitem__, rest))
         if (head in self.edges or not self.edges.isdisjoint(rest)) and IRREGULAR.search(text):
@@ -110,13 +123,34 @@ class Encoder:
         return out
 
 
+class RankEncoder(Encoder):
+    """The same over a file of ranks; no string of a text is a special token."""
+
+    def __init__(self, path: str):
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.lib = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.cuts, self.special = True, []
+        self._reset()
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.lib.encode_ordinary(text)).tobytes()
+
+    unit = whole
+
+
 _encoders: dict = {}
 
 
 def encoder(path: str) -> Encoder:
     """One per Python worker."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = (RankEncoder if path.endswith(".tiktoken") else Encoder)(path)
     return _encoders[path]
 
 
