@@ -132,14 +132,18 @@ def estimate_floor(percent: int) -> float:
     return j - 5 * (e * (1 - e) / K) ** 0.5 / (1 - c)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one of the ids (a single column)."""
+    ids = ids.toDF("doc_id").distinct()
+    return docs.join(broadcast_if_small(ids, MAX_BROADCAST_IDS), "doc_id", "left_semi")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * |A n B| >= percent * |A u B| on full sets.
 
     The member's text joins first and the leader's last, straight into the
     comparison: a leader of many members is never copied through a shuffle.
     """
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.join(broadcast_if_small(ids, MAX_BROADCAST_IDS), "doc_id", "left_semi")
     both = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
             .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a"))
 
@@ -174,16 +178,20 @@ def components(edges: DataFrame) -> DataFrame:
         lab = new.select("node", "comp")
 
 
-def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Unite the components that ``links`` join; labels: (id, comp)."""
-    la = labels.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
-    lb = labels.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
-    edges = links.join(la, "a").join(lb, "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    edges = cut(edges.distinct())
-    if edges.isEmpty():
-        return labels
-    up = components(edges)
-    return cut(labels.join(up, labels.comp == up.node, "left").select("id", F.coalesce(up.comp, labels.comp).alias("comp")))
+def _united(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """(node, comp): components that confirmed pairs (a, ca, b, cb) join, or None; ca and cb are those of a and b."""
+    if pairs.isEmpty():
+        return None
+    links = confirmed(pairs.select("a", "b"), texts, width, percent).join(pairs, ["a", "b"])
+    edges = cut(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    return None if edges.isEmpty() else components(edges)
+
+
+def _renamed(rows: DataFrame, up: DataFrame | None) -> DataFrame:
+    if up is None:
+        return rows
+    up = up.select("node", F.col("comp").alias("__up"))
+    return rows.join(up, rows["comp"] == up["node"], "left").withColumn("comp", F.coalesce("__up", "comp")).drop("node", "__up")
 
 
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3, percent: int = 85) -> DataFrame:
@@ -203,33 +211,37 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width: in
     sa = reps.select(F.col("doc_id").alias("a"), F.struct(*sig_cols).alias("x"))
     sb = reps.select(F.col("doc_id").alias("b"), F.struct(*sig_cols).alias("y"))
     pairs = cut(pairs.join(sb, "b").join(sa, "a").where(estimate(F.col("x"), F.col("y")) >= floor).select("a", "b").distinct())
-    links = confirmed(pairs, docs, width, percent)
-    labels = _relabel(cut(reps.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("comp")).distinct()), links)
+    both = pairs.select("a").union(pairs.select("b"))
+    pairs = pairs.select("a", F.col("a").alias("ca"), "b", F.col("b").alias("cb"))
+    labels = reps.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("comp")).distinct()
+    labels = cut(_renamed(labels, _united(pairs, texts_of(both, docs), width, percent)))
 
     # then every band: buckets that still hold several components, a block of leaders at a time
     rows = reps.join(labels, reps.doc_id == labels.id).select("id", "comp", F.col("n_shingles").alias("n"), *sig_cols, F.explode("bands").alias("key"))
-    live = _several(rows)
+    live, ups = _several(rows), []
     if not live.isEmpty():
-        spelled = _spelled(live, docs, width, percent)
-        pairs = _rare_pairs(live, spelled, floor)
-        if not pairs.isEmpty():
-            labels = _relabel(labels, confirmed(pairs, docs, width, percent))
-        live = live.drop("comp").join(spelled.select("id", "s"), "id").join(labels, "id")
-        live = _several(_reachable(_several(live), percent))
+        texts = cut(texts_of(live.select("id"), docs))
+        spelled = _spelled(texts, width, percent)
+        ups.append(_united(_rare_pairs(live, spelled, floor), texts, width, percent))
+        live = _renamed(live.join(spelled.select("id", "s"), "id"), ups[-1])
+        live = _several(_reachable(live, percent))
     while not live.isEmpty():
         own = live.withColumn("rank", F.struct((1 - F.col("s") / F.col("n")).alias("r"), "id"))
         first = own.withColumn("rn", F.row_number().over(Window.partitionBy("key").orderBy("rank"))).where(F.col("rn") <= LEADERS)
-        leaders = first.groupBy("key").agg(F.max("rank").alias("last"), F.collect_list(F.struct("rank", "id", "comp", "n", "s", *sig_cols)).alias("lead"))
+        leaders = cut(first.groupBy("key").agg(F.max("rank").alias("last"), F.collect_list(F.struct("rank", "id", "comp", "n", "s", *sig_cols)).alias("lead")))
         me = F.struct("n", "s", *sig_cols)
-        tested = own.join(leaders, "key")
         found = F.filter("lead", lambda l: (l["rank"] < F.col("rank")) & (l["comp"] != F.col("comp"))
                          & (100 * _most(l, me) >= percent * (l["n"] + me["n"] - _most(l, me))) & (estimate(l, me) >= floor))
-        pairs = cut(tested.select(F.col("id").alias("b"), F.explode(F.transform(found, lambda l: l["id"])).alias("a"))
-                    .select("a", "b").distinct())
-        if not pairs.isEmpty():
-            labels = _relabel(labels, confirmed(pairs, docs, width, percent))
-        rest = own.join(leaders.select("key", "last"), "key").where(F.col("rank") > F.col("last")).drop("last", "comp", "rank")
-        live = _several(_reachable(_several(rest.join(labels, "id")), percent))
+        # a member meets the same leaders in many buckets: its lists are put together before they are spread out
+        met = own.join(leaders, "key").select(
+            F.col("id").alias("b"), F.col("comp").alias("cb"), F.transform(found, lambda l: F.struct(l["id"].alias("a"), l["comp"].alias("ca"))).alias("l"))
+        met = met.where(F.size("l") > 0).groupBy("b", "cb").agg(F.array_distinct(F.flatten(F.collect_list("l"))).alias("l"))
+        pairs = cut(met.select("b", "cb", F.explode("l").alias("l")).select("l.a", "l.ca", "b", "cb"))
+        ups.append(_united(pairs, texts, width, percent))
+        rest = own.join(leaders.select("key", "last"), "key").where(F.col("rank") > F.col("last")).drop("last", "rank")
+        live = _several(_reachable(_renamed(rest, ups[-1]), percent))
+    for up in ups:
+        labels = _renamed(labels, up)
 
     of_class = classes.join(labels, "id").select("f0", "f1", "n_shingles", "comp")
     # a row is in its class; an id that occurs with several texts takes the smallest component of them
@@ -256,14 +268,12 @@ def _reachable(live: DataFrame, percent: int) -> DataFrame:
     return live.join(least, "key").where(100 * F.col("s") >= percent * (F.col("n") + size - F.col("s"))).drop("least")
 
 
-def _spelled(live: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(id, s, rare): of each member of ``live``, how many shingles are frequent, and the rare ones of its prefix.
+def _spelled(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, s, rare): of each member, how many shingles are frequent, and the rare ones of its prefix.
 
-    Frequencies count members of ``live``; rare: in at most ``RARE`` of them. The
+    Frequencies count the members ``texts``; rare: in at most ``RARE`` of them. The
     prefix of a set of n: its n - ceil(percent * n / 100) + 1 least frequent shingles.
     """
-    ids = live.select(F.col("id").alias("doc_id")).distinct()
-    texts = docs.join(broadcast_if_small(ids, MAX_BROADCAST_IDS), "doc_id", "left_semi")
 
     def run(batches):
         for b in (part for batch in batches for part in slices(batch)):
@@ -281,11 +291,12 @@ def _spelled(live: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
 
 
 def _rare_pairs(live: DataFrame, spelled: DataFrame, floor: float) -> DataFrame:
-    """Pairs (a, b) of different components that share a rare shingle of both prefixes; at most RARE members a shingle."""
+    """Pairs (a, ca, b, cb) of different components that share a rare shingle of both prefixes; at most RARE members a shingle."""
     members = live.select("id", "comp", F.struct("s0", "s1", "s2", "s3").alias("sig")).distinct()
     rows = spelled.select("id", F.explode("rare").alias("token")).join(members, "id")
     lists = rows.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("id", "comp", "sig"))).alias("m")).where(F.size("m") > 1)
     near = lambda x: F.transform(F.filter("m", lambda y: (y["id"] > x["id"]) & (y["comp"] != x["comp"])
-                                          & (estimate(x["sig"], y["sig"]) >= floor)), lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")))
+                                          & (estimate(x["sig"], y["sig"]) >= floor)), lambda y: F.struct(
+                                              x["id"].alias("a"), x["comp"].alias("ca"), y["id"].alias("b"), y["comp"].alias("cb")))
     found = F.array_distinct(F.flatten(F.transform("m", near)))
-    return cut(lists.select(F.explode(found).alias("p")).select("p.a", "p.b").distinct())
+    return cut(lists.select(F.explode(found).alias("p")).select("p.*").distinct())
