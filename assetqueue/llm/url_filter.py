@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from assetqueue.llm.common import LOWER, UPPER, broadcast_if_small
 
 HOST_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
-#: (name, pattern over host + path, literal tokens, action) for the rest
+#: (name, pattern over host + path, literal tokens, action) for the rest; rules may share a name
 PATTERN_RULES = [
-    ("spam-farm", r"^(?:[^/]*\.)?spam-?farm\.", ["spam", "farm"], "block"),
+    ("spam-farm", r"^(?:[^/]*\.)?spam-farm\.", ["spam", "farm"], "block"),
+    ("spam-farm", r"^(?:[^/]*\.)?spamfarm\.", ["spamfarm"], "block"),
     ("casino", r"(?:^|[./_-])casino(?:[./_-]|$)", ["casino"], "block"),
     ("viagra", r"(?:^|[./_-])viagra(?:[./_-]|$)", ["viagra"], "block"),
     ("porn", r"(?:^|[./_-])porn(?:[./_-]|$)", ["porn"], "block"),
@@ -33,7 +34,7 @@ PATTERN_RULES = [
     ("cart", r"^[^/]+/(?:.*/)?(?:cart|checkout)(?:\.\w+)?/?$", [], "block"),
 ]
 MAX_BROADCAST = 1_000_000
-RULE_SCHEMA = "rule string, pattern string, literals array<string>, action string, rank int"
+RULE_SCHEMA = "n int, rule string, pattern string, literals array<string>, action string, rank int"
 
 
 def tokens(c: Column) -> Column:
@@ -48,11 +49,11 @@ def host_rules(rules=HOST_RULES) -> list:
 
 def indexed(rules: DataFrame, urls: DataFrame) -> DataFrame:
     """Rules with the token they are filed under: their rarest literal; "" where a rule has none."""
-    lit = rules.select("rule", F.explode("literals").alias("token")).distinct()
+    lit = rules.select("n", F.explode("literals").alias("token")).distinct()
     seen = urls.select(F.explode("tokens").alias("token")).join(broadcast_if_small(lit.select("token").distinct(), MAX_BROADCAST), "token")
     freq = lit.join(seen.groupBy("token").count(), "token", "left")
-    best = freq.groupBy("rule").agg(F.min_by("token", F.struct(F.coalesce("count", F.lit(0)), F.col("token"))).alias("token"))
-    return rules.drop("literals").join(best, "rule", "left").withColumn("token", F.coalesce("token", F.lit("")))
+    best = freq.groupBy("n").agg(F.min_by("token", F.struct(F.coalesce("count", F.lit(0)), F.col("token"))).alias("token"))
+    return rules.drop("literals").join(best, "n", "left").withColumn("token", F.coalesce("token", F.lit("")))
 
 
 def filter_urls(pages: DataFrame, id_col="page_id", url_col="url", hosts=HOST_RULES, patterns=PATTERN_RULES) -> DataFrame:
@@ -66,7 +67,7 @@ def filter_urls(pages: DataFrame, id_col="page_id", url_col="url", hosts=HOST_RU
     urls = urls.groupBy("page_id", "host", "path").agg(F.count("*").alias("times"))
     urls = urls.withColumn("target", F.concat("host", "path")).withColumn("tokens", tokens(F.col("target")))
     table = host_rules(hosts) + [(n, p, lits, a, 0) for n, p, lits, a in patterns]
-    rules = indexed(spark.createDataFrame(table, RULE_SCHEMA), urls)
+    rules = indexed(spark.createDataFrame([(n, *r) for n, r in enumerate(table)], RULE_SCHEMA), urls)
     fetched = urls.withColumn("token", F.explode(F.concat("tokens", F.array(F.lit("")))))
     fetched = fetched.join(broadcast_if_small(rules, MAX_BROADCAST), "token", "left")
     fits = F.expr("rlike(target, pattern)")
