@@ -269,7 +269,7 @@ def _reachable(live: DataFrame, percent: int) -> DataFrame:
 
 
 def _spelled(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(id, s, rare): of each member, how many shingles are frequent, and the rare ones of its prefix.
+    """(id, s, rare): of each member, how many shingles are frequent, and the rare ones of its prefix (of each of its texts).
 
     Frequencies count the members ``texts``; rare: in at most ``RARE`` of them. The
     prefix of a set of n: its n - ceil(percent * n / 100) + 1 least frequent shingles.
@@ -278,16 +278,18 @@ def _spelled(texts: DataFrame, width: int, percent: int) -> DataFrame:
     def run(batches):
         for b in (part for batch in batches for part in slices(batch)):
             sets = [x.view(np.int64) for x in shingle_sets(b.column("text").to_pylist(), width)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "tokens"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "th", "tokens"])
 
-    one = texts.groupBy("doc_id").agg(F.min("text").alias("text")).mapInArrow(run, "id long, tokens array<long>")
-    rows = one.select("id", F.explode("tokens").alias("token"))
+    one = texts.groupBy("doc_id", F.xxhash64("text").alias("th")).agg(F.min("text").alias("text"))
+    rows = one.mapInArrow(run, "id long, th long, tokens array<long>").select("id", "th", F.explode("tokens").alias("token"))
     rows = rows.join(rows.groupBy("token").agg(F.count("*").alias("df")), "token")
-    sets = rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    sets = rows.groupBy("id", "th").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
     n = F.size("t")
     prefix = F.slice("t", 1, n - F.ceil(n * percent / F.lit(100)).cast("int") + 1)
     rare = F.transform(F.filter(prefix, lambda x: (x["df"] > 1) & (x["df"] <= RARE)), lambda x: x["token"])
-    return cut(sets.select("id", F.size(F.filter("t", lambda x: x["df"] > RARE)).cast("long").alias("s"), rare.alias("rare")))
+    own = sets.select("id", F.size(F.filter("t", lambda x: x["df"] > RARE)).cast("long").alias("s"), rare.alias("rare"))
+    # an id with several texts: the most frequent shingles of any, and the rare ones of all
+    return cut(own.groupBy("id").agg(F.max("s").alias("s"), F.array_distinct(F.flatten(F.collect_list("rare"))).alias("rare")))
 
 
 def _rare_pairs(live: DataFrame, spelled: DataFrame, floor: float) -> DataFrame:

@@ -11,23 +11,29 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assetqueue.llm import decontamination, line_dedup, near_dup, packing, toxicity
-from assetqueue.llm.common import broadcast_if_small, shared_dir, table
+from assetqueue.llm.common import broadcast_if_small, cut, shared_dir, table, written
 
 #: the stages' decisions are learned or iterative (boosted trees, subset sums over token ids)
 ORACLE_SQL = None
 MAX_BROADCAST = 1_000_000
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose (doc_id, hash of the text) is not in ``gone``; null ids stay."""
-    gone = broadcast_if_small(gone.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct(), MAX_BROADCAST)
-    text = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.join(gone, (F.col("doc_id") == F.col("__id")) & (text == F.col("__th")), "left_anti")
+def _without(docs: DataFrame, gone: DataFrame, keys: list) -> DataFrame:
+    """Rows of ``docs`` whose keys are not in ``gone``; null is a key like any other."""
+    gone = gone.select(*[F.col(k).alias(f"__gone_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"__gone_{k}")) for k in keys]
+    return docs.join(broadcast_if_small(gone, MAX_BROADCAST), same, "left_anti")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, written so that it stays: ids may be null or repeated."""
+    return written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model predicts toxic go."""
-    return _without(docs, toxicity.toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+    """Documents that the toxicity model predicts toxic go; rows of one id and text have one score."""
+    gone = toxicity.toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1")
+    return _without(docs.withColumn("th", F.xxhash64(F.coalesce("text", F.lit("")))), gone, ["doc_id", "th"]).drop("th")
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,17 +44,20 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: five-word shingles, similarity of 0.8 or more."""
-    found = near_dup.near_duplicates(docs, width=5, percent=80)
-    gone = found.where("not kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(broadcast_if_small(gone, MAX_BROADCAST), F.col("doc_id") == F.col("__id"), "left_anti")
+    """One row of each group of near-duplicates stays, that of the smallest id: five-word shingles, similarity of 0.8 or more."""
+    rows = _numbered(docs)
+    found = near_dup.near_duplicates(rows, id_col="__row", width=5, percent=80)
+    ids = rows.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row").alias("at"))
+    found = cut(found.select(F.col("doc_id").alias("__row"), "component_id").join(ids, "__row"))
+    first = found.groupBy("component_id").agg(F.min("at").alias("at")).select("at.__row")
+    return _without(rows, found.join(first, "__row", "left_anti"), ["__row"]).drop("__row")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of the benchmark go."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.where("contaminated").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(broadcast_if_small(gone, MAX_BROADCAST), F.col("doc_id") == F.col("__id"), "left_anti")
+    rows = _numbered(docs)
+    found = decontamination.contamination(rows, table(spark, sf_dir, "benchmark"), id_col="__row")
+    return _without(rows, found.where("contaminated").select(F.col("doc_id").alias("__row")), ["__row"]).drop("__row")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
