@@ -22,6 +22,8 @@ empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -29,7 +31,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from assetqueue.llm.bpe import slices
 from assetqueue.llm.common import batch_words, broadcast_if_small, cut, mix64
 
-BANDS, ROWS, K, BITS = 25, 5, 128, 2  # 25 x 5: a pair at 0.85 shares no band once in 2 million
+K, BITS = 128, 2
+MISS = (1 - 0.85 ** 5) ** 25  # odds that a pair at the threshold shares no band: once in 2 million
 LEADERS, RARE = 512, 32
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -70,11 +73,22 @@ def _minima(s: np.ndarray) -> np.ndarray:
     return best
 
 
-def _signature(s: np.ndarray):
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows): the longest bands with which a pair at the threshold is missed with odds of ``MISS`` at most."""
+    for rows in range(min(K, len(_P) - 6), 0, -1):
+        miss = 1 - (percent / 100) ** rows
+        bands = math.ceil(math.log(MISS) / math.log(miss) - 1e-9) if miss > 0 else 1
+        if bands * rows <= K:
+            return bands, rows
+    raise ValueError(f"{K} minima are too few for {percent} %")
+
+
+def _signature(s: np.ndarray, percent: int = 85):
+    bands, length = banding(percent)
     m = _minima(s)
-    rows = m[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64) * _P[2]
-    for j in range(ROWS):
+    rows = m[: bands * length].reshape(bands, length).astype(np.uint64)
+    key = np.arange(1, bands + 1, dtype=np.uint64) * _P[2]
+    for j in range(length):
         key = mix64(key ^ (rows[:, j] + _P[3 + j]))
     low = (mix64(m.astype(np.uint64)) & np.uint64((1 << BITS) - 1)).reshape(-1, 64 // BITS)
     packed = (low << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))).sum(axis=1, dtype=np.uint64)
@@ -84,7 +98,7 @@ def _signature(s: np.ndarray):
 _SIG_SCHEMA = "doc_id long, n_shingles long, f0 long, f1 long, s0 long, s1 long, s2 long, s3 long, bands array<long>"
 
 
-def signatures(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3) -> DataFrame:
+def signatures(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3, percent: int = 85) -> DataFrame:
     """One row per row of ``docs``: set size, 128-bit set fingerprint, packed low bits, band keys."""
 
     def run(batches):
@@ -93,7 +107,7 @@ def signatures(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3
             for s in shingle_sets(b.column(1).to_pylist(), width):
                 cols["n"].append(len(s))
                 if len(s):
-                    keys, packed = _signature(s)
+                    keys, packed = _signature(s, percent)
                     f0 = mix64(s * _P[10] + _P[11]).sum(dtype=np.uint64)
                     f1 = mix64(s ^ _P[12]).sum(dtype=np.uint64)
                     cols["f0"].append(int(f0.view(np.int64)))
@@ -197,7 +211,7 @@ def _renamed(rows: DataFrame, up: DataFrame | None) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sigs = cut(signatures(docs, width=width))
+    sigs = cut(signatures(docs, width=width, percent=percent))
     classes = cut(sigs.where("n_shingles > 0 and doc_id is not null").groupBy("f0", "f1", "n_shingles")
                   .agg(F.min("doc_id").alias("id")))
     reps = sigs.join(classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").where("n_shingles > 0")
