@@ -87,8 +87,13 @@ def _edges(ranges: int) -> np.ndarray:
 
 
 def _narrow(x: np.ndarray) -> bytes:
-    """Counts as four bytes each, little-endian; most are 1 and compress to little."""
-    return np.minimum(x, 0xFFFFFFFF).astype("<u4").tobytes()
+    """Counts as four bytes each, little-endian, eight where one needs them (the first byte says which); most are 1 and compress to little."""
+    size = 8 if len(x) and x.max() > 0xFFFFFFFF else 4
+    return bytes([size]) + x.astype(f"<u{size}").tobytes()
+
+
+def _widened(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
 
 
 def _gaps(keys: np.ndarray) -> bytes:
@@ -123,13 +128,12 @@ def _answers(key, t):
     keys = [_ungap(x) for x in t.column("keys").to_pylist()]
     blocks = np.array(t.column("block").to_pylist())
     sizes = np.array([len(k) for k in keys])
-    get = lambda n, kind: np.concatenate([np.frombuffer(x, kind) for x in t.column(n).to_pylist()])
     uniq, inv = np.unique(np.concatenate(keys), return_inverse=True)
-    counts, fold = get("c", "<u4"), np.repeat(blocks % FOLDS == 0, sizes)
+    counts, fold = np.concatenate([_widened(x) for x in t.column("c").to_pylist()]), np.repeat(blocks % FOLDS == 0, sizes)
     c = np.bincount(inv, weights=counts, minlength=len(uniq))
     f = np.bincount(inv, weights=counts * fold, minlength=len(uniq))
     w = np.zeros(len(uniq), bool)
-    w[inv[get("w", np.int8) > 0]] = True
+    w[inv[np.concatenate([np.frombuffer(x, np.int8) for x in t.column("w").to_pylist()]) > 0]] = True
     cuts = np.cumsum(sizes)[:-1]
     ca, fa = np.split(c[inv], cuts), np.split(f[inv], cuts)
     held = [_narrow(x) if k % FOLDS == 0 else b"" for x, k in zip(fa, blocks)]  # only held-out blocks need it
@@ -141,7 +145,7 @@ def _answers(key, t):
 def _joined(answers: pa.Table, name: str) -> np.ndarray:
     """A block's counts, in the order of its keys."""
     parts = answers.sort_by("part").column(name).to_pylist()
-    return np.concatenate([np.frombuffer(x, "<u4") for x in parts]).astype(np.float64)
+    return np.concatenate([_widened(x) for x in parts]).astype(np.float64)
 
 
 def _components(c_ctx, c_pair, c_tok, n):
