@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from assetqueue.llm import (decontamination, line_dedup, lm_scoring, near_dup, packing, token_counts, token_output, topk, toxicity,
-                            url_filter)
-from assetqueue.llm.common import table
+from assetqueue.llm import (conversation_repair, decontamination, line_dedup, lm_scoring, near_dup, packing, quality, token_counts,
+                            token_output, topk, toxicity, url_filter)
+from assetqueue.llm.common import table, written
 from assetqueue.llm.sql import ORACLE_SQL  # noqa: F401
 
 
@@ -55,6 +55,18 @@ def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_quality(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    turns = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    found = written(conversation_repair.audits(turns), "audits")
+    digests = conversation_repair.repaired_digests(turns, found).withColumnRenamed("conv_id", "id")
+    out = found.join(digests, F.col("conv_id").eqNullSafe(F.col("id")))
+    return out.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -62,4 +74,5 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_topk, op3_near_dup, op4_url_filter, op5_token_counts, op6_toxicity,
-                                   op7_token_output, op8_lm_scoring, op9_line_dedup, op10_packing, pipeline)}
+                                   op7_token_output, op8_lm_scoring, op9_line_dedup, op10_packing, op11_quality,
+                                   op12_conversation_repair, pipeline)}
