@@ -177,13 +177,14 @@ class Discriminant:
         n = by[0][0] + by[1][0]
         cov = {c: q / m - np.outer(s / m, s / m) for c, (m, s, q) in by.items()}
         pooled = sum(by[c][0] / n * cov[c] for c in by)
-        self.scale = 1 / np.sqrt(np.diag(pooled) + 1e-9)
+        self.scale = 1 / np.sqrt(np.maximum(np.diag(pooled), 0) + 1e-6)
         unit = np.outer(self.scale, self.scale)
         self.means, self.factors, self.base = {}, {}, {}
         for c in by:
             s = ((1 - pool) * cov[c] + pool * pooled) * unit
-            s = (1 - ridge) * s + ridge * np.diag(np.maximum(np.diag(s), 1e-3)) + 1e-6 * np.eye(len(s))
-            chol = np.linalg.cholesky(s)
+            s = (1 - ridge) * s + ridge * np.diag(np.maximum(np.diag(s), 1e-3))
+            spread, axes = np.linalg.eigh(s)  # a statistic without spread leaves rounding errors below zero
+            chol = np.linalg.cholesky((axes * np.maximum(spread, 1e-6)) @ axes.T)
             self.means[c] = by[c][1] / by[c][0] * self.scale
             self.factors[c] = np.linalg.inv(chol)
             self.base[c] = np.log(by[c][0] / n) - np.log(np.diag(chol)).sum()

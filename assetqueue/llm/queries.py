@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from assetqueue.llm import (conversation_repair, decontamination, line_dedup, lm_scoring, near_dup, packing, quality, token_counts,
-                            token_output, topk, toxicity, url_filter)
+from assetqueue.llm import (conversation_repair, decontamination, line_dedup, lm_scoring, near_dup, packing, phrase_mining, quality,
+                            token_counts, token_output, topk, toxicity, url_filter)
 from assetqueue.llm.common import table, written
 from assetqueue.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -67,6 +67,10 @@ def op12_conversation_repair(spark, sf_dir):
     return out.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
 
 
+def op13_phrase_mining(spark, sf_dir):
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -75,4 +79,4 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_topk, op3_near_dup, op4_url_filter, op5_token_counts, op6_toxicity,
                                    op7_token_output, op8_lm_scoring, op9_line_dedup, op10_packing, op11_quality,
-                                   op12_conversation_repair, pipeline)}
+                                   op12_conversation_repair, op13_phrase_mining, pipeline)}

@@ -76,4 +76,72 @@ o AS (SELECT r, doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTE
 SELECT doc_id, n_lines, n_removed, CAST(length(kept) AS BIGINT) AS n_chars_left, sha256(kept) AS text_sha256 FROM o
 UNION ALL SELECT doc_id, 0, 0, 0, sha256('') FROM documents WHERE text IS NULL"""
 
-ORACLE_SQL = {"op1_decontamination": OP1, "op2_topk": OP2, "op3_near_dup": OP3, "op4_url_filter": OP4, "op9_line_dedup": OP9}
+_CRC_STEPS = "list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+
+
+def _crc32(key):
+    """CRC-32 of an ASCII string, bit by bit."""
+    codes = f"list_prepend(4294967295::BIGINT, list_transform(string_split({key}, ''), lambda c: ascii(c)::BIGINT))"
+    return f"xor(list_reduce({codes}, lambda acc, b: {_CRC_STEPS}), 4294967295)"
+
+
+# states of the walk: 0 nothing written, 1 a system turn, 2 ends with user, 3 ends with assistant
+OP12 = f"""
+WITH RECURSIVE f AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS f FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+             CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy FROM f WHERE f <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM d),
+c AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+             NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut, substr(role, 1, 1) AS ini,
+             lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+t AS (SELECT conv_id, i, ini, blank OR again AS dead, CAST(NOT blank AND NOT again AND cut AS INT) AS extra FROM c),
+size AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+                count(*) FILTER (WHERE NOT blank AND again) AS duplicate, count(*) FILTER (WHERE NOT blank AND NOT again AND cut) AS truncated,
+                count(*) FILTER (WHERE before IS NOT NULL AND (before || ini) NOT IN ('su', 'ua', 'au')) AS illegal FROM c GROUP BY conv_id),
+ins AS (SELECT * FROM (VALUES (0, 0, ''), (1, 1, ''), (2, 2, ''), (3, 3, ''), (0, 2, 'I'), (1, 2, 'I'), (2, 3, 'I'), (3, 2, 'I'),
+                              (0, 3, 'II'), (1, 3, 'II'), (2, 2, 'II'), (3, 3, 'II')) AS x(a, b, ii)),
+step AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)) AS x(a, want, b)),
+w AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS st, CAST(0 AS BIGINT) AS cost, '' AS audit FROM size
+      UNION ALL
+      SELECT conv_id, i, st, min(cost), arg_min(audit, (cost, audit)) FROM (
+        SELECT w.conv_id, t.i, ins.b AS st, w.cost + 2 * length(ii) + 3 AS cost, w.audit || ii || 'D' AS audit
+        FROM w JOIN t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1 JOIN ins ON ins.a = w.st
+        UNION ALL
+        SELECT w.conv_id, t.i, step.b, w.cost + 2 * length(ii) + extra + CASE WHEN ini = want THEN 0 ELSE 2 END, w.audit || ii || CASE WHEN ini = want THEN 'K' ELSE 'R' END
+        FROM w JOIN t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1 AND NOT t.dead JOIN ins ON ins.a = w.st
+               JOIN step ON step.a = ins.b AND (want <> 's' OR ini = 's')) GROUP BY conv_id, i, st),
+fin AS (SELECT w.conv_id, min(w.cost + 2 * length(ii)) AS cost, arg_min(w.audit || ii, (w.cost + 2 * length(ii), w.audit || ii)) AS audit
+        FROM w JOIN size ON size.conv_id IS NOT DISTINCT FROM w.conv_id AND size.n = w.i JOIN ins ON ins.a = w.st AND ins.b IN (0, 3) GROUP BY w.conv_id),
+e AS (SELECT conv_id, unnest(string_split(audit, '')) AS e, generate_subscripts(string_split(audit, ''), 1) AS j FROM fin WHERE audit <> ''),
+p AS (SELECT *, count(*) FILTER (WHERE e <> 'I') OVER (PARTITION BY conv_id ORDER BY j) AS i,
+             count(*) FILTER (WHERE e <> 'D') OVER (PARTITION BY conv_id ORDER BY j DESC) AS rest FROM e),
+txt AS (SELECT p.conv_id, string_agg(CASE WHEN e = 'K' THEN o.role WHEN rest % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' ||
+                                     CASE WHEN e = 'I' THEN '' ELSE o.text END, chr(10) ORDER BY j) AS s
+        FROM p LEFT JOIN o ON o.conv_id IS NOT DISTINCT FROM p.conv_id AND o.i = p.i AND p.e <> 'I' WHERE e <> 'D' GROUP BY p.conv_id)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(s, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN size ON size.conv_id IS NOT DISTINCT FROM a.conv_id
+     LEFT JOIN fin ON fin.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN txt ON txt.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+OP13 = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_low('text')}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, greatest(len(w) - k + 2, 1)), lambda i: w[i:i + k - 1])) AS g FROM w, range(1, 6) AS r(k)),
+f AS (SELECT lang, g, any_value(k) AS k, count(*) AS f FROM g GROUP BY lang, g HAVING count(*) >= 100),
+c AS (SELECT lang, g, k, f AS a, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+s AS (SELECT c.lang, c.g, a, cut, x.f AS l, y.f AS r, n,
+             CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+      FROM c JOIN total USING (lang) JOIN f x ON x.lang = c.lang AND x.g = c.g[1:cut] JOIN f y ON y.lang = c.lang AND y.g = c.g[cut + 1:]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+sub AS (SELECT lang, a, k, g, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT lang, f AS a, k, g, unnest(range(2, k)) AS m FROM f WHERE k > 2)),
+held AS (SELECT lang, g[i:i + m - 1] AS g, max(a) AS over FROM sub GROUP BY 1, 2),
+q AS (SELECT b.* FROM b LEFT JOIN held USING (lang, g) WHERE over IS NULL OR 100 * over < 100 * a)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS BIGINT) AS rank,
+       array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM q QUALIFY rank <= 2000"""
+
+ORACLE_SQL = {"op1_decontamination": OP1, "op2_topk": OP2, "op3_near_dup": OP3, "op4_url_filter": OP4, "op9_line_dedup": OP9,
+              "op12_conversation_repair": OP12, "op13_phrase_mining": OP13}

@@ -9,7 +9,7 @@ import corpus_pipeline
 from assetqueue.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE_SQL))
@@ -43,4 +43,4 @@ def test_pipeline(spark, tmp_path):
 
 
 def test_every_operator_has_a_query():
-    assert {int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")} == set(range(1, 11)) and "pipeline" in QUERIES
+    assert {int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")} == set(range(1, 14)) and "pipeline" in QUERIES
