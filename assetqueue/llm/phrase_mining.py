@@ -1,8 +1,9 @@
 """Phrase collocations: weighted acyclic automata of n-gram counts.
 
-Texts become shards of bounded size: sorted distinct words with counts, and the
-words' places. Words counted at least ``min_count`` times make the vocabulary;
-no phrase of that count holds another word. Each shard sorts its n-grams and
+Texts become shards of bounded size: distinct words with counts, and the words'
+places. Words counted at least ``min_count`` times make the vocabulary, numbered in
+the order of their hashes, which is the order of all automata; no phrase of that
+count holds another word. Each shard sorts its n-grams and
 builds a minimal acyclic transducer from them (``Counts``: a path is an n-gram,
 the weight of its last arc is its count), cut into ranges of its prefixes. A
 range takes the union of all shards' transducers and sums the weights. Pairs go
@@ -30,10 +31,10 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from assetqueue.llm.common import LOWER, UPPER, mix64, written
+from assetqueue.llm.common import LOWER, UPPER, hash_words, mix64, written
 
 MIN_COUNT, MAX_WORDS, TOP, PERCENT = 100, 5, 2000, 100
-SHARD_BYTES, RANGE_WORDS = 8_000_000, 4_000_000
+SHARD_BYTES, RANGE_WORDS, HASH_RANGE_BYTES = 8_000_000, 1_000_000, 64_000_000
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = np.zeros(256, bool)
 _BREAK[list(BREAKS)] = True
@@ -46,21 +47,24 @@ _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
 def pack(arrays) -> bytes:
-    """Non-negative integer arrays, each in as few bytes an item as its largest needs."""
+    """Non-negative integer arrays, each in as few bytes an item as its largest needs, like bytes side by side, compressed."""
     out = [len(arrays).to_bytes(4, "little")]
     for x in arrays:
         x = np.asarray(x, np.int64)
         top = int(x.max()) if len(x) else 0
-        size = next(s for s in (1, 2, 4, 8) if top < 1 << (8 * s - 1) or s == 8)
-        out += [bytes([size]), len(x).to_bytes(8, "little"), x.astype(f"<i{size}").tobytes()]
-    return b"".join(out)
+        size = next(s for s in (1, 2, 4, 8) if s == 8 or top < 1 << 8 * s)
+        out += [bytes([size]), len(x).to_bytes(8, "little"), x.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T.tobytes()]
+    data = b"".join(out)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
-def unpack(data: bytes) -> list:
+def unpack(body: bytes) -> list:
+    data = pa.decompress(body[8:], decompressed_size=int.from_bytes(body[:8], "little"), codec="zstd", asbytes=True)
     out, at = [], 4
     for _ in range(int.from_bytes(data[:4], "little")):
         size, n = data[at], int.from_bytes(data[at + 1: at + 9], "little")
-        out.append(np.frombuffer(data, f"<i{size}", n, at + 9).astype(np.int64))
+        planes = np.frombuffer(data, np.uint8, n * size, at + 9).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).view(f"<u{size}").ravel().astype(np.int64))
         at += 9 + size * n
     return out
 
@@ -146,13 +150,19 @@ class Counts:
             state = target[arcs]
         return out
 
+    def arrays(self) -> list:
+        return [x for level in self.levels for x in level]
+
+    @classmethod
+    def of(cls, arrays: list):
+        return cls([tuple(arrays[i: i + 4]) for i in range(0, len(arrays), 4)])
+
     def pack(self) -> bytes:
-        return pack([x for level in self.levels for x in level])
+        return pack(self.arrays())
 
     @classmethod
-    def unpack(cls, data: bytes):
-        x = unpack(data)
-        return cls([tuple(x[i: i + 4]) for i in range(0, len(x), 4)])
+    def unpack(cls, body: bytes):
+        return cls.of(unpack(body))
 
 
 def union(sources: list, fixed: int):
@@ -240,7 +250,7 @@ def _parts(raw: bytes):
 
 
 def words_of(raw: bytes):
-    """(sorted distinct words, count of each, their places as ids from 0 with -1 between pieces)."""
+    """(distinct words in the order of their hashes, the hashes, counts, the words' places as ids from 1 with 0 between pieces)."""
     buf = np.frombuffer(raw, np.uint8)
     word = _WORD[buf]
     edge = np.diff(np.concatenate(([0], word.view(np.int8), [0])))
@@ -248,39 +258,80 @@ def words_of(raw: bytes):
     size -= lo
     piece = np.cumsum(_BREAK[buf], dtype=np.int32)[lo]
     n = len(lo)
-    offsets = np.zeros(n + 1, np.int32)
-    np.cumsum(size, out=offsets[1:])
-    data = buf[word]
-    arr = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
-    order = pc.sort_indices(arr.dictionary).to_numpy()
+    arr = _binary(size, buf[word]).dictionary_encode()
+    hashes = hash_words(b" ".join(arr.dictionary.to_pylist()))[1]
+    order = np.argsort(hashes, kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     ids = rank[arr.indices.to_numpy()]
-    seq = np.full(n + (int((np.diff(piece) > 0).sum()) if n else 0), -1, np.int32)
-    seq[np.arange(n) + np.concatenate(([0], np.cumsum(np.diff(piece) > 0)))[:n]] = ids
-    return arr.dictionary.take(pa.array(order)), np.bincount(ids, minlength=len(order)), seq
+    gaps = np.cumsum(np.diff(piece, prepend=piece[:1]) > 0)
+    seq = np.zeros(n + (int(gaps[-1]) if n else 0), np.int32)
+    seq[np.arange(n) + gaps] = ids + 1
+    return arr.dictionary.take(pa.array(order)), hashes[order], np.bincount(ids, minlength=len(order)), seq
+
+
+def _binary(sizes, data: np.ndarray) -> pa.Array:
+    offsets = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=offsets[1:])
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _lettered(words: pa.Array, counts) -> list:
+    """Words and their counts as integer arrays; ``_read`` turns them back."""
+    return [counts, pc.binary_length(words).to_numpy(), np.frombuffer(b"".join(words.to_pylist()), np.uint8)]
+
+
+def _read(bodies: list):
+    """(all words, counts, number of words of each body)."""
+    parts = [unpack(b) for b in bodies]
+    sizes, letters = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]).astype(np.uint8)
+    return _binary(sizes, letters), np.concatenate([p[0] for p in parts]), [len(p[0]) for p in parts]
 
 
-_SHARD = "shard long, lang string, n long, words array<binary>, counts array<long>, seq binary"
+_KEY = ["lang", "kind", "range"]
+_MESSAGE = "lang string, n long, weight long, kind int, range long, shard long, body binary"
+_ARROW = pa.schema([("lang", pa.string()), ("n", pa.int64()), ("weight", pa.int64()), ("kind", pa.int32()), ("range", pa.int64()),
+                    ("shard", pa.int64()), ("body", pa.binary())])
+STORED, WORDS, PAIRS, LONGER = 0, 1, 2, 3
 
 
-def shards(docs: DataFrame, lang_col="lang", text_col="text") -> DataFrame:
-    """Documents of one task and language, a bounded number of bytes at a time."""
-    schema = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("words", pa.list_(pa.binary())),
-                        ("counts", pa.list_(pa.int64())), ("seq", pa.binary())])
+def _rows(rows) -> pa.Table:
+    cols = list(zip(*rows)) if rows else [[]] * len(_ARROW)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _ARROW)], schema=_ARROW)
+
+
+def _first(t: pa.Table, *names):
+    return [t.column(c)[0].as_py() for c in names]
+
+
+def _bodies(t: pa.Table):
+    """Rows in an order given by content."""
+    return sorted(zip(t.column("shard").to_pylist(), t.column("body").to_pylist()))
+
+
+def _cuts(ranges):
+    edges = np.flatnonzero(np.diff(ranges)) + 1
+    return zip(np.concatenate(([0], edges)), np.append(edges, len(ranges))) if len(ranges) else ()
+
+
+def shards(docs: DataFrame, ranges: int, lang_col="lang", text_col="text") -> DataFrame:
+    """Documents of one task and language, a bounded number of bytes at a time: the words' places (``STORED``)
+    and the distinct words with counts, by ranges of their hashes (``WORDS``)."""
 
     def run(batches):
         held, size, made = {}, {}, 0
         base = TaskContext.get().partitionId() << 32
 
         def shard(lang):
-            words, counts, seq = words_of(b"\n".join(held.pop(lang)).translate(_LOWER))
+            words, hashes, counts, seq = words_of(b"\n".join(held.pop(lang)).translate(_LOWER))
             size.pop(lang)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([base + made], pa.int64()), pa.array([lang]), pa.array([int(counts.sum())], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                 pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(counts, pa.int64())),
-                 pa.array([seq.tobytes()], pa.binary())], schema=schema)
+            out = [(lang, int(counts.sum()), 0, STORED, 0, base + made, pack([seq]))]
+            r = ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+            out += [(lang, 0, 0, WORDS, int(r[lo]), base + made, pack(_lettered(words[lo:hi], counts[lo:hi]))) for lo, hi in _cuts(r)]
+            return from_table(_rows(out))
+
+        def from_table(t):
+            return t.combine_chunks().to_batches()[0]
 
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
@@ -295,37 +346,53 @@ def shards(docs: DataFrame, lang_col="lang", text_col="text") -> DataFrame:
             made += 1
 
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    return rows.where(F.length("text") > 0).mapInArrow(run, _SHARD)
+    return rows.where(F.length("text") > 0).mapInArrow(run, _MESSAGE)
+
+
+def _common_words(min_count):
+    def run(t):
+        """The common words of a range of hashes, numbered in order; each shard hears which of its words these are.
 
+        An answer holds, for each word of the shard, its number from 1 or 0; then for the common ones their
+        count and what is counted before them in the range.
+        """
+        lang, range_ = _first(t, "lang", "range")
+        bodies = _bodies(t)
+        words, counts, sizes = _read([b for _, b in bodies])
+        arr = words.dictionary_encode()
+        at = arr.indices.to_numpy()
+        f = np.zeros(len(arr.dictionary), np.int64)
+        np.add.at(f, at, counts)
+        often = np.flatnonzero(f >= min_count)
+        texts = arr.dictionary.take(pa.array(often)).to_pylist()
+        hashes = hash_words(b" ".join(texts))[1].tolist()
+        often = often[sorted(range(len(often)), key=lambda i: (hashes[i], texts[i]))]
+        number, before = np.zeros(len(f), np.int64), np.zeros(len(f), np.int64)
+        number[often] = np.arange(len(often)) + 1
+        before[often] = np.cumsum(f[often]) - f[often]
+        out = [(lang, len(often), int(f[often].sum()), WORDS, range_, -1, pack(_lettered(arr.dictionary.take(pa.array(often)), f[often])))]
+        for (shard, _), own in zip(bodies, np.split(at, np.cumsum(sizes)[:-1])):
+            known = own[number[own] > 0]
+            out.append((lang, 0, 0, STORED, range_, shard, pack([number[own], f[known], before[known]])))
+        return _rows(out)
 
-def vocabulary(cut: DataFrame, min_count: int) -> DataFrame:
-    """(lang, word, f, id, at): common words numbered in order, and how many common words come before."""
-    each = cut.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).select("lang", F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
-    words = each.groupBy("lang", "word").agg(F.sum("c").alias("f")).where(F.col("f") >= min_count)
-    words = written(words.withColumn("head", F.substring("word", 1, 2)), "words")
-    heads = words.groupBy("lang", "head").agg(F.sum("f").alias("hf"), F.count("*").alias("hn"))
-    # at most 65,536 heads a language
-    before = Window.partitionBy("lang").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
-    heads = heads.select("lang", "head", F.coalesce(F.sum("hf").over(before), F.lit(0)).alias("f0"), F.coalesce(F.sum("hn").over(before), F.lit(0)).alias("n0"))
-    within = Window.partitionBy("lang", "head").orderBy("word").rowsBetween(Window.unboundedPreceding, 0)
-    out = words.join(heads, ["lang", "head"])
-    return written(out.select("lang", "word", "f", (F.col("n0") + F.count("*").over(within) - 1).alias("id"),
-                              (F.col("f0") + F.sum("f").over(within) - F.col("f")).alias("at")), "vocabulary")
+    return run
 
 
-# ---- rounds -------------------------------------------------------------------------------------------
+def _listed(words: DataFrame) -> DataFrame:
+    """(lang, id, word, f, at) from rows (lang, body, n0, f0)."""
 
-_KEY = ["lang", "kind", "range"]
-_MESSAGE = "lang string, n long, weight long, kind int, range long, shard long, body binary"
-_ARROW = pa.schema([("lang", pa.string()), ("n", pa.int64()), ("weight", pa.int64()), ("kind", pa.int32()), ("range", pa.int64()),
-                    ("shard", pa.int64()), ("body", pa.binary())])
-STORED, PAIRS, LONGER = 0, 2, 3
+    def run(batches):
+        for b in batches:
+            for lang, body, n0, f0 in zip(*(b.column(c).to_pylist() for c in ("lang", "body", "n0", "f0"))):
+                texts, f, _ = _read([body])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(f), pa.string()), pa.array(n0 + np.arange(len(f))), texts.cast(pa.binary()),
+                                                  pa.array(f), pa.array(f0 + np.cumsum(f) - f)], names=["lang", "id", "word", "f", "at"])
 
+    return words.select("lang", "body", "n0", "f0").mapInArrow(run, "lang string, id long, word binary, f long, at long")
 
-def _rows(rows) -> pa.Table:
-    cols = list(zip(*rows)) if rows else [[]] * len(_ARROW)
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _ARROW)], schema=_ARROW)
 
+# ---- rounds -------------------------------------------------------------------------------------------
 
 def _range(weight, size, words, f, at):
     """Range of n-grams by their first two or three words (columns of ``words``: places in f and at)."""
@@ -335,33 +402,24 @@ def _range(weight, size, words, f, at):
     return np.floor(share * weight / size).astype(np.int64)
 
 
-def _cuts(ranges):
-    edges = np.flatnonzero(np.diff(ranges)) + 1
-    return zip(np.concatenate(([0], edges)), np.append(edges, len(ranges))) if len(ranges) else ()
-
-
-def _first(t: pa.Table, *names):
-    return [t.column(c)[0].as_py() for c in names]
-
-
-def _bodies(t: pa.Table):
-    """Rows in an order given by content."""
-    return sorted(zip(t.column("shard").to_pylist(), t.column("body").to_pylist()))
-
-
 def _encode(size):
     def run(left, right):
         """A shard's common words as vocabulary ids; its pairs' counts go out by range."""
         if not left.num_rows or not right.num_rows:
             return _rows([])
-        lang, n, weight, shard, seq = _first(left, "lang", "n", "weight", "shard", "seq")
-        j, ids, f, at = (right.column(c).to_numpy() for c in ("j", "id", "f", "at"))
-        order = np.argsort(j)  # ids ascend with the shard's own sorted words
-        j, ids, f, at = (x[order] for x in (j, ids, f, at))
-        seq = np.frombuffer(seq, np.int32)
-        local = np.full(max(int(seq.max(initial=0)), int(j.max())) + 2, -1, np.int64)  # the last one: between pieces
-        local[j] = np.arange(len(j))
-        x = local[seq]
+        lang, n, weight, shard, body = _first(left, "lang", "n", "weight", "shard", "body")
+        heard = sorted(zip(*(right.column(c).to_pylist() for c in ("range", "n0", "f0", "body"))))
+        heard = [(n0, f0, *unpack(b)) for _, n0, f0, b in heard]
+        number = np.concatenate([x[2] for x in heard])
+        ids = np.concatenate([x[0] + x[2][x[2] > 0] - 1 for x in heard])
+        f, at = np.concatenate([x[3] for x in heard]), np.concatenate([x[1] + x[4] for x in heard])
+        if not len(ids):
+            return _rows([])
+        order = np.argsort(ids)
+        local = np.full(len(number) + 1, -1, np.int64)
+        local[np.flatnonzero(number > 0)[order] + 1] = np.arange(len(ids))
+        ids, f, at = ids[order], f[order], at[order]
+        x = local[unpack(body)[0]]
         used = x >= 0
         pair = used[:-1] & used[1:]
         keep = np.zeros(len(x), bool)
@@ -485,7 +543,7 @@ def _ask(size):
         ids, f, at = (right.column(c).to_numpy() for c in ("id", "f", "at"))
         order = np.argsort(ids)
         ids, f, at = ids[order], f[order], at[order]
-        out = [(lang, n, weight, kind, range_, -1, pack([ids, f, at]) + body)]
+        out = [(lang, n, weight, kind, range_, -1, pack([ids, f, at] + Counts.unpack(body).arrays()))]
         phrases = _phrases(Counts.unpack(body).paths(), _least(kind))
         me = 2 * range_ + (kind == LONGER)
         out += [(lang, n, weight, k, r, me, q.pack()) for (k, r), q in _wanted(phrases, ids, f, at, weight, size).items()]
@@ -496,10 +554,8 @@ def _ask(size):
 
 def _split(body: bytes):
     """(ids, f, at) and the counts that ``_ask`` put together."""
-    head, at = unpack(body), 4
-    for _ in range(3):
-        at += 9 + body[at] * int.from_bytes(body[at + 1: at + 9], "little")
-    return head, Counts.unpack(body[at:])
+    arrays = unpack(body)
+    return arrays[:3], Counts.of(arrays[3:])
 
 
 def _reply(left, right):
@@ -559,12 +615,21 @@ def _cogroup(left: DataFrame, right: DataFrame, keys, run, ddl: str) -> DataFram
 
 def candidates(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, lang_col="lang", text_col="text") -> tuple:
     """(lang, ids, a, l, r, n, score) of every phrase counted at least ``min_count`` times, and the vocabulary."""
-    cut = written(shards(docs, lang_col, text_col), "shards")
-    vocab = vocabulary(cut, min_count)
-    langs = cut.groupBy("lang").agg(F.sum("n").alias("n")).join(vocab.groupBy("lang").agg(F.sum("f").alias("weight")), "lang")
-    places = cut.select("shard", "lang", F.posexplode("words").alias("j", "word")).join(vocab, ["lang", "word"]).select("shard", F.col("j").cast("long").alias("j"), "id", "f", "at")
-    own = cut.select("shard", "lang", "seq").join(langs, "lang").select("shard", "lang", "n", "weight", "seq")
-    first = written(_cogroup(own, places, ["shard"], _encode(RANGE_WORDS), _MESSAGE), "pairs")
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    cut = written(shards(docs, 1 + size // HASH_RANGE_BYTES, lang_col, text_col), "shards")
+    words = written(cut.where(F.col("kind") == WORDS).groupBy("lang", "range").applyInArrow(_common_words(min_count), _MESSAGE), "words")
+    # one small row for each language and range of hashes
+    by = Window.partitionBy("lang")
+    before = by.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    heads = words.where(F.col("kind") == WORDS).select("lang", "range", earlier("n").alias("n0"), earlier("weight").alias("f0"), F.sum("weight").over(by).alias("weight"))
+    heads = written(heads.where("weight > 0"), "heads")
+    vocab = written(_listed(words.where(F.col("kind") == WORDS).drop("n", "weight").join(heads, ["lang", "range"])), "vocabulary")
+    answers = words.where(F.col("kind") == STORED).select("lang", "range", "shard", "body").join(heads.drop("weight"), ["lang", "range"])
+    own = cut.where(F.col("kind") == STORED)
+    langs = own.groupBy("lang").agg(F.sum("n").alias("n")).join(heads.select("lang", "weight").distinct(), "lang")
+    own = own.select("lang", "shard", "body").join(langs, "lang")
+    first = written(_cogroup(own, answers, ["shard"], _encode(RANGE_WORDS), _MESSAGE), "pairs")
     pairs = written(first.where(F.col("kind") == PAIRS).groupBy("lang", "range").applyInArrow(_sum(min_count, 1, True), _MESSAGE), "pair_sums")
     stored, sums = first.where(F.col("kind") == STORED), pairs.where(F.col("kind") == STORED)
     longer = _cogroup(stored, sums, ["shard"], _extend(min_count, RANGE_WORDS, max_words), _MESSAGE)

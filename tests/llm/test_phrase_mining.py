@@ -61,6 +61,7 @@ def test_equals_brute_force(spark, monkeypatch, shard, size):
     """Few or many shards and ranges, also ranges within one word."""
     monkeypatch.setattr(P, "SHARD_BYTES", shard)
     monkeypatch.setattr(P, "RANGE_WORDS", size)
+    monkeypatch.setattr(P, "HASH_RANGE_BYTES", 10 * size)
     rows = texts(1, 120) + [(None, "a a a a a a a. a a"), ("en", None), ("en", "")] + [("en", "same row again")] * 12
     assert run(spark, rows, min_count=4) == by_hand(rows, 4)
 
