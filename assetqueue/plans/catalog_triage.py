@@ -185,3 +185,35 @@ def latest_snapshot_q(spark, sf_dir):
     stamped = stamp_results(panel.select("vehicle_id", "date", "risk_score"), "date", 30, "surrogate", "cost",
                             run_ts="date")
     return latest_results(stamped).select("stamp", "vehicle_id", "risk_score")
+
+
+@register("stored_runs", "which:s stamp:s route_type:s mean_risk:f", with_fixtures("""
+SELECT 'latest' AS which, stamp, route_type, mean_risk FROM stored WHERE date = (SELECT max(date) FROM fx_panel)
+UNION ALL SELECT 'history', stamp, route_type, mean_risk FROM stored""", extra_ctes="""
+stored AS (
+  SELECT date, strftime(date, '%Y-%m-%d') || '_30d_surrogate_cost' AS stamp, route_type, avg(risk_score) AS mean_risk
+  FROM fx_panel WHERE route_type IS NOT NULL AND date > (SELECT max(date) FROM fx_panel) - INTERVAL 2 DAY GROUP BY date, route_type)"""))
+def stored_runs_q(spark, sf_dir):
+    """S8 + S6: two days are published, the second again, and a later run never completes; readers get the second day's re-run."""
+    import datetime as dt
+    import uuid
+
+    from assetqueue.session import checkpoint_dir
+    from assetqueue.sources.run_store import Run, RunStore
+
+    panel = FX.fx_panel(spark, sf_dir)
+    last = TR.latest_date(panel)
+    last = last if isinstance(last, dt.date) else dt.date.fromisoformat(str(last))
+    days = [last - dt.timedelta(days=1), last]
+    recent = panel.where(F.col("date") >= F.lit(days[0])).select("date", "route_type", "risk_score").persist()
+    store = RunStore(spark, f"{checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}")
+    run = lambda day, hour: Run.new(day, 30, "surrogate", "cost", dt.datetime.combine(last, dt.time(hour), dt.timezone.utc))
+    means = lambda day: TR.mean_risk_by_route(recent.where(F.col("date") == F.lit(day)))
+    store.publish(run(days[0], 1), {"route_means": means(days[0])})
+    store.publish(run(days[1], 2), {"route_means": means(days[0])})  # the second day, with the wrong rows
+    store.publish(run(days[1], 3), {"route_means": means(days[1])})
+    store.write(run(days[1], 4), "route_means", means(days[0]))  # no manifest
+    recent.unpersist()
+    seen = {"latest": store.read("route_means"), "history": store.history("route_means")}
+    parts = [df.select(F.lit(k).alias("which"), "stamp", "route_type", "mean_risk") for k, df in seen.items()]
+    return parts[0].unionByName(parts[1])

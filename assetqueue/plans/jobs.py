@@ -15,7 +15,21 @@ from assetqueue.operators import similar as SM
 from assetqueue.operators import survival as S
 from assetqueue.operators import triage as TR
 from assetqueue.operators import views as V
-from assetqueue.sources.tables import save_model, stamp_results, write_report, write_table
+from assetqueue.operators import quality as Q
+from assetqueue.sources.run_store import Run, RunStore
+from assetqueue.sources.tables import save_model, write_report, write_table
+
+
+def validate(panel: DataFrame, dtc: DataFrame, wo: DataFrame, cfg: Config = DEFAULT, out: str | None = None) -> Q.GateResult:
+    """The gate as a job: report and summary are stored, then any failed check fails the job."""
+    gate = Q.validate(panel, dtc, wo, cfg)
+    if out:
+        for name in ("report", "summary"):
+            write_table(getattr(gate, name), f"{out}/{name}")
+        spark = panel.sparkSession
+        gate = Q.GateResult(spark.read.parquet(f"{out}/report"), spark.read.parquet(f"{out}/summary"))
+    Q.enforce(gate)
+    return gate
 
 
 def explore(panel: DataFrame, dtc: DataFrame, wo: DataFrame, cfg: Config = DEFAULT) -> dict:
@@ -56,7 +70,8 @@ def triage(panel: DataFrame, dtc: DataFrame, wo: DataFrame, model, pre, horizon:
            ranking: str = "cost", evidence: int = 5, evidence_top: int = 5, cfg: Config = DEFAULT, out: str | None = None) -> dict:
     """C4: latest day -> scores, flags, guardrails, queue, abstained list, route means, summary and evidence.
 
-    With ``out`` every table is written below it, stamped with day, horizon, model and ranking.
+    With ``out`` the tables are published to the run store there as one run (``sources.run_store``); its key
+    and id are the result's ``run``.
     """
     rows, as_of = scored_latest(panel, model, pre, cfg)
     snap = TR.triage_snapshot(rows, dtc, wo, as_of, cfg).persist()
@@ -67,10 +82,9 @@ def triage(panel: DataFrame, dtc: DataFrame, wo: DataFrame, model, pre, horizon:
               "summary": TR.triage_summary(snap, as_of, horizon, model_name, ranking, k), "evidence": cases,
               "similar_index": SM.similar_index(cases, evidence_top)}
     if out:
-        for name, df in tables.items():
-            keep = df.drop("horizon", "model", "ranking")
-            write_table(stamp_results(keep, as_of, horizon, model_name, ranking), f"{out}/{name}", partition_by=("stamp",))
+        run = RunStore(snap.sparkSession, out).publish(Run.new(as_of, horizon, model_name, ranking), tables)
         snap.unpersist()
+        return {**tables, "run": run}
     return tables
 
 

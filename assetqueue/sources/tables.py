@@ -9,7 +9,7 @@ from typing import Iterable
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml.util import DefaultParamsReader
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from assetqueue.schemas import empty_string_to_null, nan_to_null
 
@@ -103,10 +103,13 @@ def drop_invalid_dates(df: DataFrame, col: str = "date", check_empty: bool = Tru
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Iterable[str] = (),
                 mode: str = "overwrite") -> None:
-    """Table sink (parquet by default; CSV with header for hand-off)."""
+    """Table sink (parquet by default; CSV with header for hand-off).
+
+    With ``partition_by``, overwriting replaces the partitions that ``df`` has rows of and leaves all others.
+    """
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     if fmt == "csv":
         w = w.option("header", "true")
     w.format(fmt).save(path)
@@ -120,15 +123,15 @@ def write_report(spark: SparkSession, report: dict, path: str) -> None:
 def stamp_results(df: DataFrame, snapshot_date, horizon: int, model: str, ranking: str,
                   run_ts=None) -> DataFrame:
     """Tag a result table with its run key; store partitioned by the key columns."""
-    sd = F.col(snapshot_date) if isinstance(snapshot_date, str) else F.lit(snapshot_date)
+    sd = F.col(snapshot_date) if isinstance(snapshot_date, str) else snapshot_date if isinstance(snapshot_date, Column) else F.lit(snapshot_date)
     return df.select(
         "*",
         sd.cast("date").alias("snapshot_date"),
         F.lit(int(horizon)).alias("horizon"),
         F.lit(model).alias("model"),
         F.lit(ranking).alias("ranking"),
-        (F.current_timestamp() if run_ts is None else F.col(run_ts) if isinstance(run_ts, str) else F.lit(run_ts))
-        .alias("run_ts"),
+        (F.current_timestamp() if run_ts is None else F.col(run_ts) if isinstance(run_ts, str) else run_ts if isinstance(run_ts, Column)
+         else F.lit(run_ts)).alias("run_ts"),
     ).withColumn("stamp", F.format_string("%s_%dd_%s_%s", F.date_format("snapshot_date", "yyyy-MM-dd"),
                                            F.col("horizon"), F.col("model"), F.col("ranking")))
 

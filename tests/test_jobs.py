@@ -15,6 +15,7 @@ from assetqueue.plans import jobs
 from assetqueue.schemas import VEHICLE_DAY_COLUMNS
 from assetqueue.sources import fixtures as FX
 from assetqueue.sources import tables as T
+from assetqueue.sources.run_store import RunStore
 from conftest import SF_SMALL
 
 
@@ -78,8 +79,19 @@ def test_train_then_triage_from_saved_models(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "run/report")).first()["n_train"] == run["split_counts"]["train"]
     (model, pre), = T.load_models(spark, {30: str(tmp_path / "run/models/h=30/model=logreg")})[0].values()
     out = jobs.triage(panel, dtc, wo, model, pre, 30, "logreg", k=5, cfg=cfg, out=str(tmp_path / "triage"))
-    queue = spark.read.parquet(str(tmp_path / "triage/queue"))
-    assert queue.count() <= 5 and {"stamp", "snapshot_date", "horizon", "model", "ranking"} <= set(queue.columns)
+    before = {**out}
+    early = panel.filter(F.col("date") < F.lit(out["run"].snapshot_date))
+    jobs.triage(early, dtc, wo, model, pre, 30, "logreg", k=5, cfg=cfg, out=str(tmp_path / "triage"))
+    again = jobs.triage(panel, dtc, wo, model, pre, 30, "logreg", k=5, cfg=cfg, out=str(tmp_path / "triage"))["run"]
+    store = RunStore(spark, str(tmp_path / "triage"))
+    assert store.runs().count() == 3 and len({r.run_ts for r in store.runs().collect()}) == 3
+    queue = store.read("queue")
+    assert queue.count() <= 5 and {r.run_id for r in queue.select("run_id").collect()} == {again.run_id}
+    assert {"stamp", "snapshot_date", "horizon", "model", "ranking"} <= set(queue.columns)
+    assert store.check(before["run"].run_id).where("listed <> found").count() == 0
+    days = {r.snapshot_date for r in store.history("snapshot").select("snapshot_date").distinct().collect()}
+    assert len(days) == 2 and again.snapshot_date in days
+    assert {r.run_ts for r in store.read("summary").union(store.read("summary")).select("run_ts").collect()} == {queue.first().run_ts}
     snap = out["snapshot"]
     scored = MD_scored(panel, model, pre)
     ids = panel.select("vehicle_id").distinct()
@@ -108,3 +120,14 @@ def test_explore_and_panel_features(spark):
     out = jobs.build_panel_features(raw, wo)
     assert out.count() == panel.count()
     assert {"spc_alert_today", "stress_index", "mileage_total", "breakdown_7d", "breakdown_30d"} <= set(out.columns)
+
+
+def test_gate_as_a_job(spark, tmp_path):
+    panel, dtc, wo = FX.fx_tables(spark, SF_SMALL)
+    panel = panel.select(*VEHICLE_DAY_COLUMNS)
+    gate = jobs.validate(panel, dtc, wo, FIXTURE, str(tmp_path / "good"))
+    assert gate.report.where("not passed").count() == 0
+    with pytest.raises(jobs.Q.QualityGateError):
+        jobs.validate(panel.withColumn("duty_cycle", F.lit(3.0)), dtc, wo, FIXTURE, str(tmp_path / "bad"))
+    stored = spark.read.parquet(str(tmp_path / "bad/report"))
+    assert stored.where("not passed").count() >= 1 and spark.read.parquet(str(tmp_path / "bad/summary")).count() == 6
