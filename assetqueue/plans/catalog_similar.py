@@ -115,3 +115,23 @@ SELECT * FROM (
 def similar_cases_embeddings_q(spark, sf_dir):
     """J7 at width 64 on ``embeddings``: 5 nearest neighbours of the 5 largest-norm vectors."""
     return embedding_neighbours(spark, sf_dir)
+
+
+@register("similar_cases_embeddings_all", "query_vec_id:i rank:i vec_id:i label:i distance:f", """
+WITH h AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+d AS (
+  SELECT q.vec_id AS query_vec_id, h.vec_id, h.label,
+         sqrt(list_sum(list_transform(list_zip(h.v, q.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])))) AS distance
+  FROM h AS q JOIN h ON h.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT * FROM (
+  SELECT query_vec_id, row_number() OVER (PARTITION BY query_vec_id ORDER BY distance, vec_id) AS rank, vec_id, label, distance
+  FROM d) WHERE rank <= 5""")
+def similar_cases_embeddings_all_q(spark, sf_dir):
+    """J7 at width 64: 5 nearest neighbours of every vector whose id is divisible by 100, against all vectors."""
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.col("embedding").cast("array<double>").alias("features"), "label")
+    queries = e.where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").cast("string").alias("query_id"), "features")
+    nn = SM.knn(e, queries, 6, id_cols=("vec_id",), carry=("label",)).where(F.col("vec_id").cast("string") != F.col("query_id"))
+    from pyspark.sql import Window
+    w = Window.partitionBy("query_id").orderBy("distance", "vec_id")
+    out = nn.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 5)
+    return out.select(F.col("query_id").cast("long").alias("query_vec_id"), "rank", "vec_id", "label", "distance")

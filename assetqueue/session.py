@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "assetqueue") -> SparkSession:
@@ -41,3 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         if named or sc.master.split("[")[0] == "local":
             sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="assetqueue-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """``df`` computed once: checkpointed in the folder the cluster names, or cached where there is none."""
+    return df.checkpoint() if checkpoint_dir(df.sparkSession) else df.persist()

@@ -35,21 +35,6 @@ def test_exact_quantiles_equal_numpy(spark, accuracy):
     assert column_medians(spark.createDataFrame([(1.0, None), (2.0, None)], "x double, y double"), ["x", "y"]) == {"x": 1.5, "y": None}
 
 
-def test_neighbours_in_blocks_and_before_each_query_s_day(spark, monkeypatch):
-    monkeypatch.setattr(SM, "QUERY_BLOCK", 4)
-    rng = np.random.default_rng(6)
-    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=int(i))
-    rows = [(f"V{i % 7}", day(i), [float(x) for x in rng.integers(0, 4, 3)]) for i in range(120)]
-    hist = spark.createDataFrame(rows, "vehicle_id string, date date, features array<double>").repartition(4)
-    queries = [(f"q{i}", day(d), [float(x) for x in rng.integers(0, 4, 3)]) for i, d in enumerate(rng.integers(5, 130, 20))]
-    q = spark.createDataFrame(queries, "query_id string, date date, features array<double>")
-    for before in (None, "date"):
-        got = {(r.query_id, r.nn_rank): (r.vehicle_id, r.date) for r in SM.knn(hist, q, 5, before=before).collect()}
-        for qid, d, v in queries:
-            best = sorted((np.sqrt(((np.array(f) - v) ** 2).sum()), i, t) for i, t, f in rows if before is None or t < d)[:5]
-            assert [got[(qid, k + 1)] for k in range(len(best))] == [(i, t) for _, i, t in best]
-
-
 @pytest.mark.parametrize("n", [1, 2, 17, 9000])
 def test_tie_sums_equal_the_loop(n):
     a = n + 123.4
@@ -79,12 +64,11 @@ def test_train_then_triage_from_saved_models(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "run/report")).first()["n_train"] == run["split_counts"]["train"]
     (model, pre), = T.load_models(spark, {30: str(tmp_path / "run/models/h=30/model=logreg")})[0].values()
     out = jobs.triage(panel, dtc, wo, model, pre, 30, "logreg", k=5, cfg=cfg, out=str(tmp_path / "triage"))
-    before = {**out}
-    early = panel.filter(F.col("date") < F.lit(out["run"].snapshot_date))
-    jobs.triage(early, dtc, wo, model, pre, 30, "logreg", k=5, cfg=cfg, out=str(tmp_path / "triage"))
-    again = jobs.triage(panel, dtc, wo, model, pre, 30, "logreg", k=5, cfg=cfg, out=str(tmp_path / "triage"))["run"]
+    before = out
+    again = jobs.triage(panel.filter(F.col("date") < F.lit(out["run"].snapshot_date)), dtc, wo, model, pre, 30, "logreg", k=5, cfg=cfg,
+                        out=str(tmp_path / "triage"))["run"]
     store = RunStore(spark, str(tmp_path / "triage"))
-    assert store.runs().count() == 3 and len({r.run_ts for r in store.runs().collect()}) == 3
+    assert store.runs().count() == 2 and len({r.run_ts for r in store.runs().collect()}) == 2
     queue = store.read("queue")
     assert queue.count() <= 5 and {r.run_id for r in queue.select("run_id").collect()} == {again.run_id}
     assert {"stamp", "snapshot_date", "horizon", "model", "ranking"} <= set(queue.columns)
