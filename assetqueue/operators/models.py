@@ -1,23 +1,24 @@
 """Risk models (M6-M8, M13, M17) on MLlib.
 
 Features are prepared once (one projection of the fitted preprocessor into a
-vector column, persisted) and shared by every (horizon, model) fit; each fit
-iterates driver <-> executors with aggregated gradients / split histograms.
+vector column, persisted) and shared by every (horizon, model) fit; the logistic
+fits are MLlib's, the boosted trees of all horizons grow together (``boosting``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
 from assetqueue.config import Config, DEFAULT
 from assetqueue.operators import features as FE
+from assetqueue.operators import boosting
 from assetqueue.operators import metrics as M
-from assetqueue.session import checkpoint_dir
+from assetqueue.operators.boosting import BoostedTrees
 
 
 def vectorize(df: DataFrame, pre: FE.Preprocessor, keep=("vehicle_id", "date")) -> DataFrame:
@@ -38,14 +39,24 @@ def fit_logreg(train: DataFrame, label: str, cfg: Config = DEFAULT):
     return lr.fit(train)
 
 
-def fit_gbt(train: DataFrame, label: str, cfg: Config = DEFAULT, max_iter: int | None = None):
-    """M7: boosted trees, depth 3, step 0.05, weighted (same role and
-    hyper-parameters as the reference learner, not the same numbers)."""
-    checkpoint_dir(train.sparkSession)  # hundreds of rounds: MLlib cuts the lineage every ten if it has a folder
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight",
-                        maxIter=max_iter or cfg.gbt_max_iter, maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step,
-                        maxBins=255, minInstancesPerNode=20, seed=cfg.seed)
-    return gbt.fit(train)
+def fit_gbt(train: DataFrame, label: str, cfg: Config = DEFAULT, max_iter: int | None = None) -> BoostedTrees:
+    """M7: boosted trees of one label; ``fit_gbts`` grows those of all horizons at once."""
+    rows = train.withColumn("y", F.array(F.col(label).cast("double"))).withColumn("w", F.array(F.col("weight").cast("double")))
+    return fit_gbts(rows, cfg, max_iter)[0]
+
+
+def fit_gbts(rows: DataFrame, cfg: Config = DEFAULT, max_iter: int | None = None) -> list[BoostedTrees]:
+    """M7: binned second-order boosting with the reference's rounds, depth, step and least leaf, one learner per entry of y and w."""
+    rows = rows.select(vector_to_array("features").alias("features"), "y", "w")
+    return boosting.fit(rows, rounds=max_iter or cfg.gbt_max_iter, depth=cfg.gbt_depth, step=cfg.gbt_step, min_leaf=20)
+
+
+def raw_margins(model, df: DataFrame) -> DataFrame:
+    """``df`` with margin and uncalibrated probability of class 1."""
+    if isinstance(model, BoostedTrees):
+        out = df.withColumn("margin", model.margins(vector_to_array("features")))
+        return out.withColumn("proba_raw", 1 / (1 + F.exp(-F.col("margin"))))
+    return margin(model.transform(df))
 
 
 def margin(pred: DataFrame) -> DataFrame:
@@ -66,7 +77,7 @@ class Calibrated:
         return self.calibrator is not None
 
     def predict(self, df: DataFrame) -> DataFrame:
-        p = margin(self.model.transform(df))
+        p = raw_margins(self.model, df)
         if self.kind == "isotonic":
             return self.calibrator.transform(p).withColumn("proba", F.col("iso_pred"))
         if self.kind == "sigmoid":
@@ -100,7 +111,7 @@ def calibrate(model, val: DataFrame, label: str, method: str = "isotonic") -> Ca
     n_cls = val.agg(F.countDistinct(label)).first()[0]
     if n_cls != 2:
         return Calibrated(model, None)
-    v = margin(model.transform(val))
+    v = raw_margins(model, val)
     return Calibrated(model, fit_sigmoid(v, label) if method == "sigmoid" else fit_isotonic(v, "margin", label), method)
 
 
@@ -117,14 +128,21 @@ def train_models(panel: DataFrame, cfg: Config = DEFAULT, models=("logreg", "hgb
     counts = {r["split"]: r["count"] for r in feats.groupBy("split").count().collect()}
     panel.unpersist()
     fitted, preds = {}, []
+    every = feats.filter(F.col("split") == "train")
+    weights = {label: FE.class_weights(every, label).first() for label in labels}
+    trees = {}
+    if "hgb" in models:
+        ys, ws = [], []
+        for label in labels:
+            ys.append(F.col(label).cast("double"))
+            ws.append(FE.weight_of(weights[label], label).cast("double"))
+        trees = dict(zip(labels, fit_gbts(every.withColumn("y", F.array(*ys)).withColumn("w", F.array(*ws)), cfg, gbt_iter)))
     for h, label in zip(cfg.horizons, labels):
-        tr = feats.filter(F.col("split") == "train")
-        w = FE.class_weights(tr, label).first()
-        tr = FE.with_weights(tr, w, label).withColumn(label, F.col(label).cast("double"))
+        tr = FE.with_weights(every, weights[label], label).withColumn(label, F.col(label).cast("double"))
         val = feats.filter(F.col("split") == "val").withColumn(label, F.col(label).cast("double"))
         test = feats.filter(F.col("split") == "test")
         for m in models:
-            base = fit_logreg(tr, label, cfg) if m == "logreg" else fit_gbt(tr, label, cfg, gbt_iter)
+            base = fit_logreg(tr, label, cfg) if m == "logreg" else trees[label]
             cal = calibrate(base, val, label, cfg.calibration)
             fitted[(h, m)] = cal
             preds.append(cal.predict(test).select(

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assetqueue.config import FIXTURE
+from assetqueue.functions.quantile import exact_quantiles
+from assetqueue.operators import boosting
 from assetqueue.operators import features as FE
 from assetqueue.operators import models as MD
 from assetqueue.operators import ood as OOD
@@ -14,6 +16,7 @@ from assetqueue.operators import triage as TR
 from assetqueue.plans.catalog_explore import fixture_survival
 from assetqueue.plans.registry import register
 from assetqueue.sources.fixture_sql import with_fixtures
+from assetqueue.session import settle
 from assetqueue.sources import fixtures as FX
 
 CFG = FIXTURE.with_(horizons=(7, 30))
@@ -62,6 +65,54 @@ def ood_flags_q(spark, sf_dir):
     return out.select("vehicle_id", "date", "ood_score", "ood_flag")
 
 
+GBT_COLUMNS = ("duty_cycle", "miles_today", "idle_pct", "ambient_temp_c")
+GBT_BINS, GBT_ROUNDS, GBT_DEPTH, GBT_STEP, GBT_LEAST = 8, 2, 3, 0.3, 20
+
+
+def _gbt_sql() -> str:
+    """Two rounds of three levels, written out: histograms, running sums, gains, splits and leaves as CTEs."""
+    n, cols = len(GBT_COLUMNS), GBT_COLUMNS
+    out = ["gr AS (SELECT vehicle_id, date, CAST(breakdown_30d AS DOUBLE) AS y, " +
+           ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0e0) AS x{i}" for i, c in enumerate(cols)) +
+           f" FROM fx_panel, (SELECT min(date) AS s FROM fx_panel) WHERE date <= s + {CFG.train_days - 1})",
+           "ge AS (SELECT " + ", ".join(f"quantile_cont(x{i}, [{', '.join(str(j / GBT_BINS) for j in range(1, GBT_BINS))}]) AS e{i}" for i in range(n)) + " FROM gr)",
+           "r0 AS (SELECT vehicle_id, date, y, " + ", ".join(f"len(list_filter(list_distinct(e{i}), lambda e: e < x{i})) AS b{i}" for i in range(n)) +
+           ", (SELECT ln(avg(y) / (1e0 - avg(y))) FROM gr) AS m FROM gr, ge)"]
+    bins = ", ".join(f"b{i}" for i in range(n))
+    for r in range(GBT_ROUNDS):
+        out.append(f"t{r}_0 AS (SELECT *, 0 AS nd, p - y AS g, p * (1e0 - p) AS h FROM (SELECT *, 1e0 / (1e0 + exp(-m)) AS p FROM r{r}))")
+        for lv in range(GBT_DEPTH):
+            t = f"t{r}_{lv}"
+            long = " UNION ALL ".join(f"SELECT nd, {i} AS f, b{i} AS b, g, h FROM {t} WHERE nd >= {2 ** lv - 1}" for i in range(n))
+            out.append(f"{t}c AS (SELECT nd, f, b, sum(sum(g)) OVER w AS gl, sum(sum(h)) OVER w AS hl, sum(count(*)) OVER w AS nl, "
+                       f"sum(sum(g)) OVER a AS gt, sum(sum(h)) OVER a AS ht, sum(count(*)) OVER a AS nt FROM ({long}) GROUP BY nd, f, b "
+                       "WINDOW w AS (PARTITION BY nd, f ORDER BY b), a AS (PARTITION BY nd, f))")
+            out.append(f"{t}g AS (SELECT nd, f, b, gl * gl / hl + (gt - gl) * (gt - gl) / (ht - hl) - gt * gt / ht AS gain FROM {t}c "
+                       f"WHERE nl >= {GBT_LEAST} AND nt - nl >= {GBT_LEAST} AND hl >= 1e-3 AND ht - hl >= 1e-3)")
+            out.append(f"{t}b AS (SELECT nd, f, b FROM (SELECT *, max(gain) OVER (PARTITION BY nd) AS best FROM {t}g) "
+                       "WHERE best > 1e-9 AND gain >= best - 1e-9 * best QUALIFY row_number() OVER (PARTITION BY nd ORDER BY f, b) = 1)")
+            pick = "CASE k.f " + " ".join(f"WHEN {i} THEN b{i}" for i in range(n)) + " END"
+            out.append(f"t{r}_{lv + 1} AS (SELECT t.* REPLACE (CASE WHEN k.nd IS NULL THEN t.nd ELSE 2 * t.nd + 1 + CAST({pick} > k.b AS INT) END AS nd) "
+                       f"FROM {t} t LEFT JOIN {t}b k ON k.nd = t.nd)")
+        last = f"t{r}_{GBT_DEPTH}"
+        out.append(f"r{r + 1} AS (SELECT vehicle_id, date, y, {bins}, m - {GBT_STEP}e0 * (sum(g) OVER (PARTITION BY nd)) / (sum(h) OVER (PARTITION BY nd)) AS m FROM {last})")
+    return with_fixtures(f"SELECT vehicle_id, date, m AS margin FROM r{GBT_ROUNDS}", extra_ctes="\n" + ",\n".join(out))
+
+
+@register("gbt_rounds", "vehicle_id:s date:d margin:f", _gbt_sql())
+def gbt_rounds_q(spark, sf_dir):
+    """M7: margins of the train slice after two rounds of boosting on four signals in eight quantile bins."""
+    train = FE.train_slice(FX.fx_panel(spark, sf_dir), CFG)
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in GBT_COLUMNS])
+    rows = settle(train.select("vehicle_id", "date", x.alias("features"), F.array(F.col("breakdown_30d").cast("double")).alias("y"),
+                               F.array(F.lit(1.0)).alias("w")))
+    long = rows.select(F.posexplode("features").alias("f", "v"))
+    got = exact_quantiles(long, "v", [i / GBT_BINS for i in range(1, GBT_BINS)], ["f"])
+    edges = [sorted(set(got[(i,)])) if (i,) in got else [] for i in range(len(GBT_COLUMNS))]
+    model, = boosting.fit(rows, edges, GBT_ROUNDS, GBT_DEPTH, GBT_STEP, GBT_LEAST)
+    return rows.select("vehicle_id", "date", model.margins(F.col("features")).alias("margin"))
+
+
 COX_SPEC = "covariate:s coef:f se_coef:f p:f hazard_ratio:f hr_ci95_low:f hr_ci95_high:f converged:b note:s"
 
 

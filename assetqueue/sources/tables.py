@@ -150,16 +150,23 @@ def save_model(spark: SparkSession, model, preprocessor, path: str) -> None:
     """A calibrated model and its preprocessor under ``path``.
 
     ``base`` and ``calibrator`` are MLlib's own model folders; ``manifest`` is a
-    one-row JSON table with the calibration's kind and the preprocessor's parameters.
+    one-row JSON table with the calibration's kind, the preprocessor's parameters
+    and, for boosted trees, the trees.
     """
-    model.model.write().overwrite().save(f"{path}/base")
+    from assetqueue.operators.boosting import BoostedTrees
+
+    trees = isinstance(model.model, BoostedTrees)
+    if not trees:
+        model.model.write().overwrite().save(f"{path}/base")
     if model.calibrator is not None:
         model.calibrator.write().overwrite().save(f"{path}/calibrator")
-    write_report(spark, {"kind": model.kind, "preprocessor": json.dumps(asdict(preprocessor))}, f"{path}/manifest")
+    report = {"kind": model.kind, "preprocessor": json.dumps(asdict(preprocessor))}
+    write_report(spark, report | ({"trees": model.model.to_json()} if trees else {}), f"{path}/manifest")
 
 
 def load_model(spark: SparkSession, path: str):
     """(calibrated model, preprocessor) as saved; MLlib's metadata name the class of each part."""
+    from assetqueue.operators.boosting import BoostedTrees
     from assetqueue.operators.features import Preprocessor
     from assetqueue.operators.models import Calibrated
 
@@ -167,7 +174,9 @@ def load_model(spark: SparkSession, path: str):
     parts = {k: tuple(v) if isinstance(v, list) else v for k, v in json.loads(manifest["preprocessor"]).items()}
     load = lambda p: DefaultParamsReader.loadParamsInstance(p, spark)
     calibrator = load(f"{path}/calibrator") if manifest["kind"] != "none" else None
-    return Calibrated(load(f"{path}/base"), calibrator, manifest["kind"]), Preprocessor(**parts)
+    trees = manifest["trees"] if "trees" in manifest else None
+    base = BoostedTrees.from_json(trees) if trees else load(f"{path}/base")
+    return Calibrated(base, calibrator, manifest["kind"]), Preprocessor(**parts)
 
 
 def load_models(spark: SparkSession, paths: dict):
