@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from assetqueue.session import settle
 
 MAX_BINS, ROUNDS_A_BLOCK, PARTIALS = 255, 15, 16
-ROWS_A_BLOCK, ROWS_A_PART = 8192, 4096
+ROWS_A_BLOCK, ROWS_A_PART = 8192, 12_288
 MIN_HESSIAN, EQUAL = 1e-3, 1e-9
 
 
@@ -121,8 +121,8 @@ def _moved(blocks: DataFrame, rounds, depth, n_features, n_targets) -> DataFrame
 
 
 def _histogram(blocks: DataFrame, parts: int, rounds, growing, level, depth, n_features, n_targets, n_bins) -> np.ndarray:
-    """Sums of (gradient, hessian, rows) by target, node of the level, feature and bin."""
-    shape = (n_targets, 2 ** level, n_features, n_bins, 3)
+    """Sums of (gradient, hessian, rows) by target, node, feature and bin, for the root or the level's left children."""
+    shape = (n_targets, max(1, 2 ** level // 2), n_features, n_bins, 3)
 
     def run(batches):
         total = np.zeros(shape)
@@ -132,8 +132,8 @@ def _histogram(blocks: DataFrame, parts: int, rounds, growing, level, depth, n_f
                 g, h = w * (p - y), w * p * (1 - p)
                 for k, tree in enumerate(growing):
                     node = tree.nodes(bins, level) - (2 ** level - 1)
-                    live = np.flatnonzero(node >= 0)
-                    cells = ((node[live][:, None] * n_features + np.arange(n_features)) * n_bins + bins[live]).ravel()
+                    live = np.flatnonzero((node >= 0) & (node % 2 == 0))
+                    cells = ((node[live][:, None] // 2 * n_features + np.arange(n_features)) * n_bins + bins[live]).ravel()
                     for j, weight in enumerate((g[live, k], h[live, k], None)):
                         weight = None if weight is None else np.repeat(weight, n_features)
                         total[k, ..., j] += np.bincount(cells, weights=weight, minlength=total[k, ..., j].size).reshape(shape[1:4])
@@ -152,6 +152,15 @@ def _histogram(blocks: DataFrame, parts: int, rounds, growing, level, depth, n_f
     return sum((np.frombuffer(r.sums).reshape(shape) for r in partial.collect()), np.zeros(shape))
 
 
+def _rest(above: np.ndarray, left: np.ndarray, trees: list, level: int) -> np.ndarray:
+    """Right children: what of their parents is not in the left ones; a parent that is a leaf has none."""
+    first = 2 ** (level - 1) - 1
+    inner = np.array([t.feature[first: 2 * first + 1] >= 0 for t in trees])
+    rest = above - left
+    rest[rest[..., 2] == 0] = 0.0  # no rows: what is left of the sums is rounding
+    return np.where(inner[:, :, None, None, None], rest, 0.0)
+
+
 def _split(sums: np.ndarray, min_leaf: int, l2: float):
     """(feature, bin) of the best split of one node, or None; ``sums``: feature, bin, (g, h, n)."""
     left = np.cumsum(sums, axis=1)
@@ -223,7 +232,8 @@ def fit(df: DataFrame, edges: list | None = None, rounds: int = 300, depth: int
     for _ in range(rounds):
         trees = [Tree.leafless(depth) for _ in range(n_targets)]
         for level in range(depth):
-            hist = _histogram(blocks, parts, ahead, trees, level, depth, n_features, n_targets, n_bins)
+            left = _histogram(blocks, parts, ahead, trees, level, depth, n_features, n_targets, n_bins)
+            hist = left if level == 0 else np.stack((left, _rest(hist, left, trees, level)), axis=2).reshape(n_targets, -1, *left.shape[2:])
             for k, tree in enumerate(trees):
                 for i in range(2 ** level):
                     node = 2 ** level - 1 + i
@@ -233,8 +243,8 @@ def fit(df: DataFrame, edges: list | None = None, rounds: int = 300, depth: int
                         at = _split(hist[k, i], min_leaf, l2)
                         if at is not None:
                             tree.feature[node], tree.threshold[node] = at
-                            left = hist[k, i, at[0], : at[1] + 1].sum(axis=0)
-                            for child, (gc, hc, _) in ((2 * node + 1, left), (2 * node + 2, hist[k, i, at[0]].sum(axis=0) - left)):
+                            low = hist[k, i, at[0], : at[1] + 1].sum(axis=0)
+                            for child, (gc, hc, _) in ((2 * node + 1, low), (2 * node + 2, hist[k, i, at[0]].sum(axis=0) - low)):
                                 tree.value[child] = -step * gc / max(hc + l2, 1e-300)
         for k, tree in enumerate(trees):
             grown[k].append(tree)
