@@ -1,30 +1,34 @@
-"""Out-of-distribution flags with an isolation forest.
-
-MLlib has no isolation forest, so the published algorithm (random feature,
-uniform random split, height limit ceil(log2(psi)), path length h + c(n)) is
-built on Spark primitives:
-
-* sampling: each train row draws a hash per tree, ``xxhash64(key, tree, seed)``;
-  rows whose hash falls under a threshold sized for ~4x psi per tree are kept
-  (bounded explode), then exactly psi rows per tree by hash rank (window group
-  limit). Independent of the partitioning, no driver collect of data;
-* growth: ``groupBy(tree).applyInPandas`` - one task per tree, <= psi rows each;
-* the forest (<= trees x 2 psi nodes) is small and travels with the scorer;
-* scoring: a pandas UDF over Arrow batches; the flag threshold is the
-  (1 - contamination) quantile of the train scores, exact.
+"""Out-of-distribution flags with an isolation forest (M14), in DataFrame operations only.
+
+* Sampling: one hash of a row's key gives two numbers u and v; its place in tree t is
+  the fraction of u + v * t, so rows are independent within a tree and no tree needs a
+  hash of its own. Rows below a threshold sized for about 4 x psi rows a tree are
+  candidates, and each tree takes its psi first ones.
+* Growth, a level at a time for all trees: one aggregate per level gives each node's
+  size and its least and largest value per feature. A node splits at a hash-drawn
+  feature (of those that vary) and a hash-drawn place between the two; nodes of one
+  row, without a varying feature or at depth ceil(log2(psi)) are leaves. A leaf of n
+  rows at depth d has path length d + c(n).
+* The forest has at most trees x (2 psi - 1) nodes, whatever the data; it becomes three
+  literal arrays, and rows walk down all trees by higher-order functions.
+
+Scores are rounded to nine digits, so that equal ones are equal in whatever order they
+are summed. The flag threshold is the exact (1 - contamination) quantile of the train
+scores. Without train rows there is no threshold, and flags are null.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assetqueue.functions.quantile import exact_quantiles
+from assetqueue.session import settle
 
 EULER = 0.5772156649015329
+OVERSAMPLING = 4.0
 
 
 def c_factor(n: float) -> float:
@@ -36,124 +40,106 @@ def c_factor(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + EULER) - 2.0 * (n - 1.0) / n
 
 
-NODE_SCHEMA = T.StructType([
-    T.StructField("tree", T.IntegerType()), T.StructField("node", T.IntegerType()),
-    T.StructField("feature", T.IntegerType()), T.StructField("threshold", T.DoubleType()),
-    T.StructField("left", T.IntegerType()), T.StructField("right", T.IntegerType()),
-    T.StructField("size", T.IntegerType()), T.StructField("depth", T.IntegerType()),
-])
-
-
-def _grow(seed: int, max_depth: int):
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = int(pdf["tree"].iloc[0])
-        X = np.stack(pdf["features"].to_numpy()).astype(np.float64)
-        rng = np.random.default_rng([seed, tree])
-        rows, stack = [], [(0, np.arange(len(X)), 0)]
-        next_id = 1
-        while stack:
-            node, idx, depth = stack.pop()
-            sub = X[idx]
-            if depth >= max_depth or len(idx) <= 1:
-                rows.append((tree, node, -1, 0.0, -1, -1, len(idx), depth))
-                continue
-            lo, hi = sub.min(axis=0), sub.max(axis=0)
-            cand = np.nonzero(hi > lo)[0]
-            if len(cand) == 0:
-                rows.append((tree, node, -1, 0.0, -1, -1, len(idx), depth))
-                continue
-            f = int(rng.choice(cand))
-            thr = float(rng.uniform(lo[f], hi[f]))
-            go_left = sub[:, f] < thr
-            left, right = next_id, next_id + 1
-            next_id += 2
-            rows.append((tree, node, f, thr, left, right, len(idx), depth))
-            stack.append((left, idx[go_left], depth + 1))
-            stack.append((right, idx[~go_left], depth + 1))
-        return pd.DataFrame(rows, columns=[f.name for f in NODE_SCHEMA.fields])
-
-    return grow
-
-
-def sample_per_tree(train: DataFrame, key_cols, n_trees: int = 200, psi: int = 256, seed: int = 42,
-                    vec_col: str = "features") -> DataFrame:
-    """Hash-seeded sample of psi rows per tree (sampling without replacement)."""
+def _unit(digest: Column, part: int) -> Column:
+    """A number in [0, 1) from 13 hex digits of a digest."""
+    return F.conv(F.substring(digest, 1 + 13 * part, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def sample_per_tree(train: DataFrame, key_cols, n_trees: int = 200, psi: int = 256, seed: int = 42, vec_col: str = "features"):
+    """((tree, key, features) with psi rows a tree, psi); psi is at most the number of rows."""
     n = train.count()
     psi = int(min(psi, n))
-    frac = min(1.0, 4.0 * psi / max(n, 1))
-    key = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in key_cols])
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    # hash mapped to [0, 1): keep (tree, row) pairs under the oversampling fraction
-    u = lambda t: (F.xxhash64(key, t, F.lit(seed)).bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
-                   / F.lit(float(1 << 52)))
-    picks = F.filter(F.transform(trees, lambda t: F.struct(t.alias("tree"), u(t).alias("u"))),
-                     lambda s: s["u"] < F.lit(frac))
-    cand = train.select(vec_col, F.explode(picks).alias("p")).select(F.col("p.tree").alias("tree"),
-                                                                      F.col("p.u").alias("u"), vec_col)
-    from pyspark.sql import Window
-    w = Window.partitionBy("tree").orderBy("u")
-    return cand.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= psi).drop("__r", "u"), psi
-
-
-def fit_forest(train: DataFrame, key_cols=("vehicle_id", "date"), n_trees: int = 200, psi: int = 256,
-               seed: int = 42, vec_col: str = "features"):
-    """Grow the forest; returns (nodes as a small pandas frame, psi)."""
-    sample, psi_eff = sample_per_tree(train, key_cols, n_trees, psi, seed, vec_col)
-    max_depth = int(math.ceil(math.log2(max(psi_eff, 2))))
-    nodes = sample.groupBy("tree").applyInPandas(_grow(seed, max_depth), NODE_SCHEMA)
-    return nodes.toPandas(), psi_eff  # bounded: <= n_trees * (2 psi - 1) rows
-
-
-def _forest_arrays(nodes: pd.DataFrame):
-    nodes = nodes.sort_values(["tree", "node"])
-    out = []
-    for _, g in nodes.groupby("tree"):
-        m = int(g["node"].max()) + 1
-        feat = np.full(m, -1, np.int64)
-        thr = np.zeros(m)
-        left = np.full(m, -1, np.int64)
-        right = np.full(m, -1, np.int64)
-        leaf_val = np.zeros(m)
-        feat[g["node"]] = g["feature"]
-        thr[g["node"]] = g["threshold"]
-        left[g["node"]] = g["left"]
-        right[g["node"]] = g["right"]
-        leaf_val[g["node"]] = g["depth"].to_numpy() + np.array([c_factor(s) for s in g["size"]])
-        out.append((feat, thr, left, right, leaf_val))
-    return out
-
-
-def score_column(nodes: pd.DataFrame, psi: int, vec_col: str = "features") -> F.Column:
-    """Anomaly score 2^(-E[h(x)] / c(psi)) as a pandas UDF over Arrow batches."""
-    forest = _forest_arrays(nodes)
-    cn = c_factor(psi)
-
-    @F.pandas_udf("double")
-    def iso_score(vecs: pd.Series) -> pd.Series:
-        X = np.stack(vecs.to_numpy()).astype(np.float64)
-        total = np.zeros(len(X))
-        for feat, thr, left, right, leaf_val in forest:
-            cur = np.zeros(len(X), np.int64)
-            active = feat[cur] >= 0
-            while active.any():
-                i = np.nonzero(active)[0]
-                f = feat[cur[i]]
-                go_left = X[i, f] < thr[cur[i]]
-                cur[i] = np.where(go_left, left[cur[i]], right[cur[i]])
-                active = feat[cur] >= 0
-            total += leaf_val[cur]
-        return pd.Series(np.power(2.0, -(total / len(forest)) / cn))
-
-    return iso_score(F.col(vec_col))
+    share = min(1.0, OVERSAMPLING * psi / max(n, 1))
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols])
+    digest = F.md5(F.concat(F.col("__key"), F.lit(f"|{seed}")))
+    drawn = train.select(key.alias("__key"), F.col(vec_col).alias("features")).select("__key", "features", _unit(digest, 0).alias("u"), _unit(digest, 1).alias("v"))
+    at = lambda t: (F.col("u") + F.col("v") * t) - F.floor(F.col("u") + F.col("v") * t)
+    picks = F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(t.alias("tree"), at(t).alias("at"))),
+                     lambda s: s["at"] < F.lit(share))
+    cand = drawn.select("__key", "features", F.explode(picks).alias("p")).select("p.tree", "p.at", "__key", "features")
+    first = Window.partitionBy("tree").orderBy("at", "__key")
+    return cand.withColumn("__r", F.row_number().over(first)).where(F.col("__r") <= psi).drop("__r", "at"), psi
+
+
+def _nodes(rows: DataFrame, depth: int, max_depth: int, n_features: int, seed: int) -> DataFrame:
+    """(tree, node, depth, n, feature, threshold) of a level; feature -1 for leaves."""
+    ends = {end: F.expr(f"array({', '.join(f'{fn}(features[{i}])' for i in range(n_features))})") for end, fn in (("lo", "min"), ("hi", "max"))}
+    stats = rows.groupBy("tree", "node").agg(F.count("*").alias("n"), *[e.alias(end) for end, e in ends.items()])
+    varying = F.expr("filter(transform(lo, (x, i) -> struct(i AS f, x AS lo, hi[i] AS hi)), s -> s.hi > s.lo)")
+    digest = F.md5(F.concat_ws("|", F.lit("split"), F.col("tree"), F.col("node"), F.lit(seed)))
+    pick = F.get("varying", F.floor(_unit(digest, 0) * F.size("varying")).cast("int"))
+    split = (F.col("n") > 1) & (F.size("varying") > 0) & F.lit(depth < max_depth)
+    return stats.select("tree", "node", "n", varying.alias("varying")).select("tree", "node", "n", F.when(split, pick).alias("s"), digest.alias("d")).select(
+        "tree", "node", F.lit(depth).alias("depth"), "n", F.coalesce("s.f", F.lit(-1)).alias("feature"),
+        (F.col("s.lo") + _unit(F.col("d"), 1) * (F.col("s.hi") - F.col("s.lo"))).alias("threshold"))
+
+
+@dataclass
+class Forest:
+    """Per (tree, node) at ``tree * width + node``: split feature or -1, threshold, path length of a leaf."""
+
+    feature: list
+    threshold: list
+    length: list
+    n_trees: int
+    depth: int
+    psi: int
+
+    @property
+    def width(self) -> int:
+        return 2 ** (self.depth + 1)
+
+    def score(self, vec_col: str = "features") -> Column:
+        """Anomaly score 2^(-E[h(x)] / c(psi)), rounded to nine digits."""
+        # constant expressions: the optimizer turns each into one array literal
+        literal = lambda xs, t: F.split(F.lit(",".join(map(repr, xs))), ",").cast(f"array<{t}>")
+        feature, threshold, length = literal(self.feature, "int"), literal(self.threshold, "double"), literal(self.length, "double")
+        x, width = F.col(vec_col), F.lit(self.width)
+
+        def down(t):
+            def step(node, _):
+                f = F.get(feature, t * width + node)
+                return F.when(f < 0, node).otherwise(2 * node + F.when(F.get(x, f) >= F.get(threshold, t * width + node), 1).otherwise(0))
+
+            return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, self.depth))), F.lit(1), step)
+
+        total = F.aggregate(F.sequence(F.lit(0), F.lit(self.n_trees - 1)), F.lit(0.0), lambda s, t: s + F.get(length, t * width + down(t)))
+        mean = total / F.lit(float(self.n_trees))
+        raw = F.pow(F.lit(2.0), -mean / F.lit(c_factor(self.psi) or 1.0))
+        return F.floor(raw * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)
+
+
+def fit_forest(train: DataFrame, key_cols=("vehicle_id", "date"), n_trees: int = 200, psi: int = 256, seed: int = 42,
+               vec_col: str = "features") -> Forest:
+    sample, psi = sample_per_tree(train, key_cols, n_trees, psi, seed, vec_col)
+    depth = int(math.ceil(math.log2(max(psi, 2))))
+    rows = settle(sample.withColumn("node", F.lit(1)))
+    first = rows.select(F.size("features").alias("n")).first()
+    forest, spark = [], train.sparkSession
+    for level in range(depth + 1 if first else 0):
+        nodes = _nodes(rows, level, depth, first.n, seed).collect()  # at most n_trees * 2 ** level rows
+        forest += nodes
+        inner = [(r.tree, r.node, r.feature, r.threshold) for r in nodes if r.feature >= 0]
+        if not inner:
+            break
+        inner = spark.createDataFrame(inner, "tree int, node int, feature int, threshold double")
+        right = F.when(F.get("features", F.col("feature")) >= F.col("threshold"), 1).otherwise(0)
+        rows = settle(rows.join(inner, ["tree", "node"]).select("tree", "features", (2 * F.col("node") + right).alias("node")))
+    width = 2 ** (depth + 1)
+    feature, threshold, length = [-1] * (n_trees * width), [0.0] * (n_trees * width), [0.0] * (n_trees * width)
+    for r in forest:
+        at = r.tree * width + r.node
+        feature[at], threshold[at] = r.feature, r.threshold or 0.0
+        length[at] = r.depth + c_factor(r.n) if r.feature < 0 else 0.0
+    return Forest(feature, threshold, length, n_trees, depth, psi)
 
 
 def ood_flags(train_vec: DataFrame, rows_vec: DataFrame, contamination: float = 0.02, n_trees: int = 200,
               psi: int = 256, seed: int = 42, key_cols=("vehicle_id", "date")) -> DataFrame:
     """Fit on the train slice, flag rows whose score exceeds the train
     (1 - contamination) percentile."""
-    nodes, psi_eff = fit_forest(train_vec, key_cols, n_trees, psi, seed)
-    sc = score_column(nodes, psi_eff)
-    scores = train_vec.select(sc.alias("s")).persist()  # scored once for both passes of the quantile
+    forest = fit_forest(train_vec, key_cols, n_trees, psi, seed)
+    scores = train_vec.select(forest.score().alias("s")).persist()  # scored once for both passes of the quantile
     thr = exact_quantiles(scores, "s", [1.0 - contamination]).get((), [None])[0]
     scores.unpersist()
-    return rows_vec.withColumn("ood_score", sc).withColumn("ood_flag", F.col("ood_score") > F.lit(thr))
+    return rows_vec.withColumn("ood_score", forest.score()).withColumn("ood_flag", F.col("ood_score") > F.lit(thr).cast("double"))

@@ -53,15 +53,56 @@ def score_snapshot_q(spark, sf_dir):
     return MD.score(model, out["preprocessor"], TR.latest_day(panel))
 
 
-@register("ood_flags", "vehicle_id:s date:d ood_score:f ood_flag:b")
+def _ood_sql() -> str:
+    """The forest written out level by level with the same hashes; every row walks down every tree."""
+    from assetqueue.plans import catalog_features as CF
+    from assetqueue.plans.catalog_similar import DIMS
+
+    n_trees, psi, seed, d = CFG.n_trees, CFG.tree_sample, CFG.seed, len(DIMS)
+    unit = lambda h, k: f"(CAST(('0x' || substr({h}, {1 + 13 * k}, 13)) AS BIGINT) / 4503599627370496e0)"
+    key = "vehicle_id || '|' || CAST(date AS VARCHAR)"
+    out = [f"fm AS ({CF._fm_sql().replace('meds m', 'fmeds m')})",
+           f"ox AS MATERIALIZED (SELECT vehicle_id, date, {key} AS k, [{', '.join(DIMS)}] AS x, date <= s + {CFG.train_days - 1} AS train FROM fm, sb)",
+           f"oh AS (SELECT k, x, {unit('h', 0)} AS u, {unit('h', 1)} AS v FROM (SELECT k, x, md5(k || '|{seed}') AS h FROM ox WHERE train))",
+           f"op AS (SELECT least({psi}, count(*)) AS psi, count(*) AS n FROM oh)",
+           "oc AS (SELECT t.t AS tree, k, x, (u + v * t.t) - floor(u + v * t.t) AS a FROM oh, "
+           f"(SELECT unnest(range({n_trees})) AS t) t)",
+           "n0 AS MATERIALIZED (SELECT tree, x, 1 AS node FROM (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY a, k) AS r FROM oc, op "
+           "WHERE a < least(1e0, 4e0 * psi / n)) WHERE r <= psi)"]
+    depth = 8  # ceil(log2(psi)) for 129 to 256 train rows and more
+    for lv in range(depth + 1):
+        out += [f"m{lv} AS (SELECT tree, node, f, count(*) AS n, min(v) AS lo, max(v) AS hi FROM (SELECT tree, node, unnest(range({d})) AS f, unnest(x) AS v FROM n{lv}) GROUP BY 1, 2, 3)",
+                f"s{lv} AS MATERIALIZED (SELECT tree, node, any_value(n) AS n, list({{'f': f, 'lo': lo, 'hi': hi}} ORDER BY f) FILTER (WHERE hi > lo) AS c, "
+                f"md5('split|' || tree || '|' || node || '|{seed}') AS h FROM m{lv} GROUP BY tree, node)",
+                f"f{lv} AS MATERIALIZED (SELECT tree, node, n, CASE WHEN n > 1 AND {lv} < {depth} AND c IS NOT NULL THEN c[1 + CAST(floor({unit('h', 0)} * len(c)) AS INT)] END AS s, h FROM s{lv})",
+                f"g{lv} AS MATERIALIZED (SELECT tree, node, n, s.f AS f, s.lo + {unit('h', 1)} * (s.hi - s.lo) AS thr FROM f{lv})"]
+        if lv < depth:
+            out.append(f"n{lv + 1} AS MATERIALIZED (SELECT r.tree, x, 2 * r.node + CAST(x[f + 1] >= thr AS INT) AS node FROM n{lv} r JOIN g{lv} g "
+                       "ON g.tree = r.tree AND g.node = r.node AND f IS NOT NULL)")
+    c = "CASE WHEN n <= 1 THEN 0e0 WHEN n <= 2 THEN 1e0 ELSE 2e0 * (ln(n - 1e0) + 0.5772156649015329e0) - 2e0 * (n - 1e0) / n END"
+    walk = f"w0 AS (SELECT k, x, t.t AS tree, 1 AS node, CAST(NULL AS DOUBLE) AS len FROM ox, (SELECT unnest(range({n_trees})) AS t) t)"
+    out.append(walk)
+    for lv in range(depth + 1):
+        out.append(f"w{lv + 1} AS (SELECT w.k, w.x, w.tree, CASE WHEN f IS NULL THEN w.node ELSE 2 * w.node + CAST(w.x[f + 1] >= thr AS INT) END AS node, "
+                   f"CASE WHEN w.len IS NULL AND f IS NULL THEN {lv} + {c} ELSE w.len END AS len FROM w{lv} w LEFT JOIN g{lv} g ON w.len IS NULL AND g.tree = w.tree AND g.node = w.node)")
+    cp = c.replace("n ", "psi ").replace("(n ", "(psi ").replace("/ n", "/ psi")
+    out += [f"sc AS MATERIALIZED (SELECT k, floor(pow(2e0, -(sum(len) / {n_trees}e0) / (SELECT {cp} FROM op)) * 1e9 + 0.5e0) / 1e9 AS score FROM w{depth + 1} GROUP BY k)",
+            f"th AS (SELECT quantile_cont(score, {1 - CFG.contamination}) AS t FROM sc JOIN ox USING (k) WHERE train)"]
+    ctes = (CF.SPLIT_CTES + ",\n" + CF.MED_CTE.replace("meds AS", "fmeds AS") + ",\n" + CF.MOM_CTE.replace("meds m", "fmeds m") + ",\n"
+            + CF.LEVELS_CTE + ",\n" + CF.MODE_CTE + ",\n" + ",\n".join(out))
+    return with_fixtures("SELECT vehicle_id, date, score AS ood_score, score > t AS ood_flag FROM ox JOIN sc USING (k), th", extra_ctes=ctes)
+
+
+@register("ood_flags", "vehicle_id:s date:d ood_score:f ood_flag:b", _ood_sql())
 def ood_flags_q(spark, sf_dir):
     """Isolation forest fitted on the train slice, flags on every panel day."""
-    panel = FX.fx_panel(spark, sf_dir)
+    panel = FX.fx_panel(spark, sf_dir).persist()
     train = FE.train_slice(panel, CFG)
     pre = FE.fit_preprocessor(train, CFG)
-    tv = train.select("vehicle_id", "date", pre.array().alias("features"))
-    rows = panel.select("vehicle_id", "date", pre.array().alias("features"))
-    out = OOD.ood_flags(tv, rows, CFG.contamination, CFG.n_trees, CFG.tree_sample, CFG.seed)
+    vec = lambda df: df.select("vehicle_id", "date", pre.array().alias("features"))
+    rows = settle(vec(panel))
+    out = OOD.ood_flags(vec(train), rows, CFG.contamination, CFG.n_trees, CFG.tree_sample, CFG.seed)
+    panel.unpersist()
     return out.select("vehicle_id", "date", "ood_score", "ood_flag")
 
 
