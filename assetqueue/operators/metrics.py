@@ -16,10 +16,11 @@ from assetqueue.functions.quantile import exact_quantiles
 
 
 def value_prefix_sum(df: DataFrame, keys, order_col: str, values: dict, descending: bool = True,
-                     bucket_rows: int = 200_000) -> DataFrame:
+                     bucket_rows: int = 200_000, totals: dict | None = None) -> DataFrame:
     """Inclusive running sums of ``values`` per ``keys`` ordered by ``order_col``
     (descending by default); exact. Buckets at the quantiles of every group, as
-    many as the largest group needs to have about ``bucket_rows`` rows in each."""
+    many as the largest group needs to have about ``bucket_rows`` rows in each.
+    ``totals`` ({value: column}) adds a group's whole sums, from those of its buckets."""
     from pyspark.ml.feature import Bucketizer
 
     keys = list(keys)
@@ -38,21 +39,21 @@ def value_prefix_sum(df: DataFrame, keys, order_col: str, values: dict, descendi
     tmp = {n: f"__v{i}" for i, n in enumerate(values)}
     base = base.select(*df.columns, b.cast("long").alias("__b"),
                        *[F.coalesce(e.cast("double"), F.lit(0.0)).alias(tmp[n]) for n, e in values.items()])
-    totals = base.groupBy(*keys, "__b").agg(*[F.sum(t).alias(t) for t in tmp.values()])
+    sums = base.groupBy(*keys, "__b").agg(*[F.sum(t).alias(t) for t in tmp.values()])
     wk = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select(*keys, "__b", *[F.coalesce(F.sum(t).over(wk), F.lit(0.0)).alias(t + "o") for t in tmp.values()])
+    whole = totals or {}
+    offs = sums.select(*keys, "__b", *[F.coalesce(F.sum(t).over(wk), F.lit(0.0)).alias(t + "o") for t in tmp.values()],
+                       *[F.sum(tmp[n]).over(Window.partitionBy(*keys)).alias(c) for n, c in whole.items()])
     oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
     wb = Window.partitionBy(*keys, "__b").orderBy(oc).rowsBetween(Window.unboundedPreceding, 0)
     j = base.join(offs, [*keys, "__b"], "left")
-    return j.select(*df.columns, *[(F.col(t + "o") + F.sum(t).over(wb)).alias(n) for n, t in tmp.items()])
+    return j.select(*df.columns, *[(F.col(t + "o") + F.sum(t).over(wb)).alias(n) for n, t in tmp.items()], *whole.values())
 
 
 def _by_threshold(pred: DataFrame, keys, y: str, p: str, bucket_rows: int) -> DataFrame:
     g = pred.groupBy(*keys, F.col(p).alias("threshold")).agg(
         F.sum(F.col(y).cast("double")).alias("tp"), F.count(F.lit(1)).cast("double").alias("n"))
-    c = value_prefix_sum(g, keys, "threshold", {"cum_tp": F.col("tp"), "cum_n": F.col("n")}, True, bucket_rows)
-    tot = g.groupBy(*keys).agg(F.sum("tp").alias("pos"))
-    return c.join(tot, list(keys), "left") if keys else c.withColumn("pos", tot.select("pos").scalar())
+    return value_prefix_sum(g, keys, "threshold", {"cum_tp": F.col("tp"), "cum_n": F.col("n")}, True, bucket_rows, {"cum_tp": "pos"})
 
 
 def average_precision(pred: DataFrame, keys=("horizon_days", "model"), y: str = "y_true", p: str = "proba",

@@ -169,21 +169,18 @@ osurv AS (
 
 
 def orders_survival(spark, sf_dir):
-    """Survival dataset on orders x customer: asset = customer, event = first
-    urgent finished order, covariate = mean order value; customers without
-    orders are censored at the full span."""
+    """The survival dataset of orders x customer: each order is a day of its customer
+    with its price as duty, an urgent finished one is a work order; customers without
+    orders have a row without a day and are censored at the full span."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_custkey", F.col("o_orderdate").cast("date").alias("d"), "o_orderpriority", "o_orderstatus", "o_totalprice")
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
-    start, end = o.agg(F.min("d")).scalar(), o.agg(F.max("d")).scalar()
-    per = o.groupBy("o_custkey").agg(
-        F.min(F.when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"), F.col("d"))).alias("fe"),
-        F.avg("o_totalprice").alias("act"))
-    j = c.join(per, c.c_custkey == per.o_custkey, "left")
-    dur = F.when(F.col("fe").isNull(), F.datediff(end, start) + 1).otherwise(F.greatest(F.datediff("fe", start) + 1, F.lit(1)))
-    return j.select(F.format_string("C%06d", "c_custkey").alias("vehicle_id"), dur.cast("long").alias("duration_days"),
-                    F.col("fe").isNotNull().cast("int").alias("event_work_order"),
-                    F.coalesce(F.col("act"), F.lit(0.0)).alias("duty_cycle_mean"))
+        F.format_string("C%06d", "o_custkey").alias("vehicle_id"), F.col("o_orderdate").cast("date").alias("date"),
+        F.col("o_totalprice").cast("double").alias("duty_cycle"), ((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")).alias("event"))
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.format_string("C%06d", "c_custkey").alias("vehicle_id"))
+    none = [F.lit(None).cast("double").alias(x) for x in ("ambient_temp_c", "dtc_count_today", "spc_alert_today")]
+    idle = c.join(o, "vehicle_id", "left_anti").select("vehicle_id", F.lit(None).cast("date").alias("date"), F.lit(None).cast("double").alias("duty_cycle"))
+    panel = o.select("vehicle_id", "date", "duty_cycle").unionByName(idle).select("*", *none)
+    events = o.where("event").select("vehicle_id", F.col("date").alias("open_date"))
+    return E.survival_dataset(panel, events).select("vehicle_id", "duration_days", "event_work_order", "duty_cycle_mean")
 
 
 @register("survival_orders", "vehicle_id:s duration_days:i event_work_order:i duty_cycle_mean:f",
