@@ -33,7 +33,7 @@ from assetqueue.llm.common import broadcast_if_small, cut, written
 
 SAMPLE, TREES, DEPTH, THRESHOLD = 20_000, 30, 4, 0.3
 MODULUS, HELD_OUT = 4, 2
-CANDIDATES, LEXICON, RATIO = 20_000, 4096, 8.0
+LEXICON, RATIO = 4096, 8.0
 PREFIXES = (4, 5, 6)
 
 INSULTS = frozenset("""idiot moron stupid loser scum trash pathetic worthless disgusting clown dumb jerk fool imbecile
@@ -140,8 +140,12 @@ def _term_counts(rows: DataFrame, only: frozenset | None) -> DataFrame:
     return rows.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def learn_lexicon(labelled: DataFrame) -> dict:
-    """{term: log ratio of its rates in toxic and other texts}; each different text counts once."""
+def learn_lexicon(labelled: DataFrame, size: int = LEXICON) -> dict:
+    """{term: log ratio of its rates in toxic and other texts}; each different text counts once.
+
+    All terms in at least a 200th of the toxic texts (and in three) are ranked: at most 200 times
+    as many as a toxic text has terms on average, however large the corpus. The best ``size`` stay.
+    """
     first = labelled.groupBy("th").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
     first = cut(first)
     n_pos, n_neg = first.agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)), F.sum(F.when(F.col("toxic") == 1, 0).otherwise(1))).first()
@@ -149,11 +153,11 @@ def learn_lexicon(labelled: DataFrame) -> dict:
         return {}
     rows = labelled.drop("toxic").join(broadcast_if_small(first, 1_000_000), ["th", "doc_id"])
     pos = _term_counts(rows.where("toxic = 1"), None).where(F.col("n") >= max(3, n_pos // 200))
-    pos = {r.term: r.n for r in pos.orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}
+    pos = {r.term: r.n for r in pos.collect()}
     neg = {r.term: r.n for r in _term_counts(rows.where("toxic <> 1"), frozenset(pos)).collect()}
     ratio = {t: (n / n_pos) / ((neg.get(t, 0) + 0.5) / n_neg) for t, n in pos.items()}
     best = sorted((t for t in pos if ratio[t] >= RATIO), key=lambda t: (-pos[t] * math.log(ratio[t]), t))
-    return {t: math.log(ratio[t]) for t in best[:LEXICON]}
+    return {t: math.log(ratio[t]) for t in best[:size]}
 
 
 def features(rows: DataFrame, lexicon: dict) -> DataFrame:
@@ -169,14 +173,14 @@ def features(rows: DataFrame, lexicon: dict) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, th long, held_out boolean, features array<double>")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic", sample: int = SAMPLE) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic", sample: int = SAMPLE, lexicon: int = LEXICON) -> DataFrame:
     """(doc_id, th, held_out, score, predicted) for every row; th is the hash of the text."""
     rows = _documents(docs, id_col, text_col)
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).dropna()
     marks = cut(marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     marks = broadcast_if_small(marks, 1_000_000)
     labelled = rows.where(~F.col("held_out")).join(marks, "doc_id")
-    vecs = written(features(rows, learn_lexicon(labelled)), "features")
+    vecs = written(features(rows, learn_lexicon(labelled, lexicon)), "features")
     train = (vecs.where(~F.col("held_out")).join(marks, "doc_id").withColumn("h", F.xxhash64("doc_id", "th"))
              .orderBy("h", "doc_id").limit(sample))
     train = cut(train.select(array_to_vector("features").alias("x"), F.col("toxic").cast("double").alias("toxic"), (F.pmod("h", F.lit(4)) == 0).alias("later")))
