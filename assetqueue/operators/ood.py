@@ -76,8 +76,12 @@ def _nodes(rows: DataFrame, depth: int, max_depth: int, n_features: int, seed: i
 
 @dataclass
 class Forest:
-    """Per (tree, node) at ``tree * width + node``: split feature or -1, threshold, path length of a leaf."""
+    """Per (tree, node) at ``tree * width + node``: left child's place, split feature and threshold, a leaf's path length.
 
+    The right child is next to the left one; a leaf is its own left child and has no threshold, so a row stays there.
+    """
+
+    left: list
     feature: list
     threshold: list
     length: list
@@ -85,25 +89,20 @@ class Forest:
     depth: int
     psi: int
 
-    @property
-    def width(self) -> int:
-        return 2 ** (self.depth + 1)
-
     def score(self, vec_col: str = "features") -> Column:
         """Anomaly score 2^(-E[h(x)] / c(psi)), rounded to nine digits."""
         # constant expressions: the optimizer turns each into one array literal
-        literal = lambda xs, t: F.split(F.lit(",".join(map(repr, xs))), ",").cast(f"array<{t}>")
-        feature, threshold, length = literal(self.feature, "int"), literal(self.threshold, "double"), literal(self.length, "double")
-        x, width = F.col(vec_col), F.lit(self.width)
+        literal = lambda xs, t: F.split(F.lit(",".join("-" if x is None else repr(x) for x in xs)), ",").try_cast(f"array<{t}>")
+        left, feature = literal(self.left, "int"), literal(self.feature, "int")
+        threshold, length = literal(self.threshold, "double"), literal(self.length, "double")
+        x = F.col(vec_col)
 
-        def down(t):
-            def step(node, _):
-                f = F.get(feature, t * width + node)
-                return F.when(f < 0, node).otherwise(2 * node + F.when(F.get(x, f) >= F.get(threshold, t * width + node), 1).otherwise(0))
+        def step(at, _):
+            return F.get(left, at) + F.when(F.get(x, F.get(feature, at)) >= F.get(threshold, at), 1).otherwise(0)
 
-            return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, self.depth))), F.lit(1), step)
-
-        total = F.aggregate(F.sequence(F.lit(0), F.lit(self.n_trees - 1)), F.lit(0.0), lambda s, t: s + F.get(length, t * width + down(t)))
+        roots = F.sequence(F.lit(1), F.lit(1 + (self.n_trees - 1) * 2 ** (self.depth + 1)), F.lit(2 ** (self.depth + 1)))
+        steps = F.sequence(F.lit(1), F.lit(max(1, self.depth)))
+        total = F.aggregate(roots, F.lit(0.0), lambda s, root: s + F.get(length, F.aggregate(steps, root, step)))
         mean = total / F.lit(float(self.n_trees))
         raw = F.pow(F.lit(2.0), -mean / F.lit(c_factor(self.psi) or 1.0))
         return F.floor(raw * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)
@@ -126,20 +125,32 @@ def fit_forest(train: DataFrame, key_cols=("vehicle_id", "date"), n_trees: int =
         right = F.when(F.get("features", F.col("feature")) >= F.col("threshold"), 1).otherwise(0)
         rows = settle(rows.join(inner, ["tree", "node"]).select("tree", "features", (2 * F.col("node") + right).alias("node")))
     width = 2 ** (depth + 1)
-    feature, threshold, length = [-1] * (n_trees * width), [0.0] * (n_trees * width), [0.0] * (n_trees * width)
+    size = n_trees * width
+    left, feature, threshold, length = list(range(size)), [0] * size, [None] * size, [0.0] * size
     for r in forest:
         at = r.tree * width + r.node
-        feature[at], threshold[at] = r.feature, r.threshold or 0.0
-        length[at] = r.depth + c_factor(r.n) if r.feature < 0 else 0.0
-    return Forest(feature, threshold, length, n_trees, depth, psi)
+        if r.feature < 0:
+            length[at] = r.depth + c_factor(r.n)
+        else:
+            left[at], feature[at], threshold[at] = r.tree * width + 2 * r.node, r.feature, r.threshold
+    return Forest(left, feature, threshold, length, n_trees, depth, psi)
 
 
 def ood_flags(train_vec: DataFrame, rows_vec: DataFrame, contamination: float = 0.02, n_trees: int = 200,
-              psi: int = 256, seed: int = 42, key_cols=("vehicle_id", "date")) -> DataFrame:
+              psi: int = 256, seed: int = 42, key_cols=("vehicle_id", "date"), train_flag: str | None = None) -> DataFrame:
     """Fit on the train slice, flag rows whose score exceeds the train
-    (1 - contamination) percentile."""
+    (1 - contamination) percentile.
+
+    ``train_flag`` names a boolean column of ``rows_vec`` that marks its train rows: all rows are then scored
+    once, and the threshold is taken from the marked ones.
+    """
     forest = fit_forest(train_vec, key_cols, n_trees, psi, seed)
-    scores = train_vec.select(forest.score().alias("s")).persist()  # scored once for both passes of the quantile
+    scored = rows_vec.withColumn("ood_score", forest.score())
+    if train_flag:
+        scored = settle(scored)
+        scores = scored.where(F.col(train_flag)).select(F.col("ood_score").alias("s"))
+    else:
+        scores = train_vec.select(forest.score().alias("s")).persist()  # scored once for both passes of the quantile
     thr = exact_quantiles(scores, "s", [1.0 - contamination]).get((), [None])[0]
     scores.unpersist()
-    return rows_vec.withColumn("ood_score", forest.score()).withColumn("ood_flag", F.col("ood_score") > F.lit(thr).cast("double"))
+    return scored.withColumn("ood_flag", F.col("ood_score") > F.lit(thr).cast("double"))

@@ -97,12 +97,11 @@ def _ood_sql() -> str:
 def ood_flags_q(spark, sf_dir):
     """Isolation forest fitted on the train slice, flags on every panel day."""
     panel = FX.fx_panel(spark, sf_dir).persist()
-    train = FE.train_slice(panel, CFG)
-    pre = FE.fit_preprocessor(train, CFG)
-    vec = lambda df: df.select("vehicle_id", "date", pre.array().alias("features"))
-    rows = settle(vec(panel))
-    out = OOD.ood_flags(vec(train), rows, CFG.contamination, CFG.n_trees, CFG.tree_sample, CFG.seed)
+    split = FE.with_split(panel, FE.split_bounds(panel, CFG))
+    pre = FE.fit_preprocessor(split.where("split = 'train'"), CFG)
+    rows = settle(split.select("vehicle_id", "date", pre.array().alias("features"), F.coalesce(F.col("split") == "train", F.lit(False)).alias("train")))
     panel.unpersist()
+    out = OOD.ood_flags(rows.where("train"), rows, CFG.contamination, CFG.n_trees, CFG.tree_sample, CFG.seed, train_flag="train")
     return out.select("vehicle_id", "date", "ood_score", "ood_flag")
 
 
