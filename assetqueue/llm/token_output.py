@@ -65,6 +65,14 @@ def _sequences(enc, text, stride):
     return [blob[at: at + 4 * stride] for at in range(0, len(blob), 4 * stride)]
 
 
+def _two_bytes(blob: bytes) -> bytes:
+    """Four-byte ids as two-byte ones; a record has no room for larger ids."""
+    ids = np.frombuffer(blob, "<u4")
+    if len(ids) and ids.max() > 0xFFFF:
+        raise ValueError(f"id {ids.max()} does not fit the two bytes of a record: this tokenizer's vocabulary is too large")
+    return ids.astype("<u2").tobytes()
+
+
 def _filesystem(path: str):
     from pyarrow import fs
 
@@ -109,7 +117,7 @@ def materialise(docs: DataFrame, out_dir: str, id_col="doc_id", text_col="text",
                         doc.append(d)
                         start.append(i * stride)
                         total.append(len(s) // 4)
-                        ids.append(np.frombuffer(s, "<u4").astype("<u2").tobytes())
+                        ids.append(_two_bytes(s))
                 slot = slots(np.arange(at, at + len(doc)), n, key)
                 at += len(doc)
                 yield pa.RecordBatch.from_arrays(
