@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assetqueue.llm.bpe import slices
-from assetqueue.llm.common import batch_words, broadcast_if_small, cut, mix64
+from assetqueue.llm.common import batch_words, broadcast_if_small, cut, mix64, trimmed
 
 K, BITS = 128, 2
 MISS = (1 - 0.85 ** 5) ** 25  # odds that a pair at the threshold shares no band: once in 2 million
@@ -125,7 +125,7 @@ def signatures(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3
                 [b.column(0), *longs, pa.array(cols["bands"], pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "f0", "f1", "s0", "s1", "s2", "s3", "bands"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, _SIG_SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(trimmed(run), _SIG_SCHEMA)
 
 
 def estimate(a, b) -> Column:
@@ -173,7 +173,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([t.column("a").filter(mask), t.column("b").filter(mask)], names=["a", "b"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "ta", "tb").mapInArrow(trimmed(run), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -295,7 +295,7 @@ def _spelled(texts: DataFrame, width: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "th", "tokens"])
 
     one = texts.groupBy("doc_id", F.xxhash64("text").alias("th")).agg(F.min("text").alias("text"))
-    rows = one.mapInArrow(run, "id long, th long, tokens array<long>").select("id", "th", F.explode("tokens").alias("token"))
+    rows = one.mapInArrow(trimmed(run), "id long, th long, tokens array<long>").select("id", "th", F.explode("tokens").alias("token"))
     rows = rows.join(rows.groupBy("token").agg(F.count("*").alias("df")), "token")
     sets = rows.groupBy("id", "th").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
     n = F.size("t")

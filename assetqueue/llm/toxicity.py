@@ -29,7 +29,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
 from assetqueue.llm.bpe import slices
-from assetqueue.llm.common import broadcast_if_small, cut, written
+from assetqueue.llm.common import broadcast_if_small, cut, trimmed, written
 
 SAMPLE, TREES, DEPTH, THRESHOLD = 20_000, 30, 4, 0.3
 MODULUS, HELD_OUT = 4, 2
@@ -137,7 +137,7 @@ def _term_counts(rows: DataFrame, only: frozenset | None) -> DataFrame:
         if seen:
             yield flush()
 
-    return rows.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return rows.select("text").mapInArrow(trimmed(run), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def learn_lexicon(labelled: DataFrame, size: int = LEXICON) -> dict:
@@ -170,7 +170,7 @@ def features(rows: DataFrame, lexicon: dict) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), b.column("held_out"), pa.array(vecs, pa.list_(pa.float64()))],
                                                  names=["doc_id", "th", "held_out", "features"])
 
-    return rows.mapInArrow(run, "doc_id long, th long, held_out boolean, features array<double>")
+    return rows.mapInArrow(trimmed(run), "doc_id long, th long, held_out boolean, features array<double>")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic", sample: int = SAMPLE, lexicon: int = LEXICON) -> DataFrame:
