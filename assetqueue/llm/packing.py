@@ -21,7 +21,8 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from assetqueue.llm.bpe import default_path, encoder, slices
+from assetqueue.llm.bpe import default_path, encoder, text_slices
+from assetqueue.llm.common import trimmed
 
 WINDOW, END_ID, MAX_SLACK, BUCKET_DOCS = 1024, 0, 8, 4000
 
@@ -95,11 +96,11 @@ def pack(docs: DataFrame, id_col="doc_id", text_col="text", tokenizer: str | Non
     def cut_up(batches):
         enc = encoder(path)
         for batch in batches:
-            for b in slices(batch):
+            for b in text_slices(batch):
                 rows: list = [[] for _ in range(7)]
-                texts, buckets_, ids_ = (b.column(n).to_pylist() for n in ("text", "bucket", "doc_id"))
-                for bucket, doc, text in zip(buckets_, ids_, texts):
-                    blob = enc.encode(text) + end
+                buckets_, ids_ = (b.column(n).to_pylist() for n in ("bucket", "doc_id"))
+                for bucket, doc, blob in zip(buckets_, ids_, enc.encode_many(b.column("text"))):
+                    blob += end
                     n = len(blob) // 4
                     for at in range(0, n, window):
                         part = blob[4 * at: 4 * (at + window)]
@@ -138,4 +139,4 @@ def pack(docs: DataFrame, id_col="doc_id", text_col="text", tokenizer: str | Non
 
     # the bucket column keeps rows without an id apart by their text
     keyed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).alias("bucket"))
-    return keyed.mapInArrow(cut_up, _CUT).groupBy("bucket").applyInArrow(place, PIECES)
+    return keyed.mapInArrow(trimmed(cut_up), _CUT).groupBy("bucket").applyInArrow(place, PIECES)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from assetqueue.llm.bpe import default_path, encoder, slices
+from assetqueue.llm.bpe import default_path, encoder, text_slices
 from assetqueue.llm.common import shared_dir
 
 STRIDE, SHARD_RECORDS, KEY, ROUNDS, END_ID, PAD_ID = 256, 1 << 15, 0x5EED, 6, 0, 0
@@ -60,8 +60,8 @@ def slots(index: np.ndarray, n: int, key: int = KEY, inverse: bool = False) -> n
     return out.astype(np.int64)
 
 
-def _sequences(enc, text, stride):
-    blob = enc.encode(text) + END_ID.to_bytes(4, "little")
+def _sequences(blob, stride):
+    blob += END_ID.to_bytes(4, "little")
     return [blob[at: at + 4 * stride] for at in range(0, len(blob), 4 * stride)]
 
 
@@ -96,8 +96,8 @@ def materialise(docs: DataFrame, out_dir: str, id_col="doc_id", text_col="text",
     def count(batches):
         enc, n = encoder(path), 0
         for batch in batches:
-            for b in slices(batch):
-                n += sum(-(-(len(enc.encode(t)) // 4 + 1) // stride) for t in b.column("text").to_pylist())
+            for b in text_slices(batch):
+                n += sum(-(-(len(blob) // 4 + 1) // stride) for blob in enc.encode_many(b.column("text")))
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64())], names=["part", "n"])
 
     counts = dict(docs.mapInArrow(count, "part long, n long").groupBy("part").agg(F.sum("n")).collect())
@@ -110,10 +110,10 @@ def materialise(docs: DataFrame, out_dir: str, id_col="doc_id", text_col="text",
         enc, at = encoder(path), bases.get(TaskContext.get().partitionId(), 0)
         end = at + counts.get(TaskContext.get().partitionId(), 0)
         for batch in batches:
-            for b in slices(batch):
+            for b in text_slices(batch):
                 doc, start, total, ids = [], [], [], []
-                for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                    for i, s in enumerate(_sequences(enc, t, stride)):
+                for d, blob in zip(b.column("doc_id").to_pylist(), enc.encode_many(b.column("text"))):
+                    for i, s in enumerate(_sequences(blob, stride)):
                         doc.append(d)
                         start.append(i * stride)
                         total.append(len(s) // 4)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,3 +197,23 @@ def test_top_k_equals_brute_force(spark):
             want |= {(i, k + 1, j, -x) for k, (x, j) in enumerate(s)}
     assert {tuple(r) for r in out} == want and len(out) == len(want)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_ids_of_many_texts_are_the_library_s():
+    """Line feeds, runs of white space, other white space, special strings, nulls: each text as the library has it."""
+    odd = [None, "", "\n", " ", "\n\n", "a\n\nb", "a\n\n\nb", "a \nb", "a\n b", "a\n\n", "\na", " a", "a  b", "a b", "a\tb", "a <|endoftext|> b"]
+    values = odd + texts(3000, 30, 11) + ["\n".join(texts(40, 12, 12)), "word " * 50_000]
+    for enc in (bpe.Encoder(bpe.default_path("byte_bpe_50k.json")), bpe.RankEncoder(bpe.default_path("byte_bpe_50k.tiktoken")),
+                bpe.Encoder(bpe.default_path("word_bpe_49k.json"))):
+        assert enc.encode_many(pa.array([], pa.string())) == []
+        got = enc.encode_many(pa.array(values, pa.string()))
+        assert len(got) == len(values)
+        for t, ids in zip(values, got):
+            assert ids == enc.whole(t or ""), t
+
+
+def test_slices_of_bounded_size_hold_every_row():
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * n for n in (5, 0, 30, 1, 9, 9)] + [None], pa.string())], names=["text"])
+    parts = list(bpe.text_slices(batch, max_bytes=10))
+    assert [x for p in parts for x in p.column("text").to_pylist()] == batch.column("text").to_pylist()
+    assert len(parts) > 2 and list(bpe.text_slices(batch.slice(0, 0))) == []
