@@ -9,7 +9,8 @@ it goes too: its lines stand in earlier documents.
 
 Cases: blank lines are never boilerplate and never removed. Null texts and
 empty texts stay as they are. A null site is no site. Repeated rows (same id and
-text) share one fate. Extra columns stay untouched; an empty table stays empty.
+text) share one fate. Extra columns stay untouched, but for ones named n_lines or
+n_removed, which give way to the result's; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -54,8 +55,10 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col="doc_id", te
     kept = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains("__gone", i))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     out = out.select(*[F.col(c) for c in docs.columns if c != text_col], text.alias("__text"),
-                     F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).cast("long").alias("n_lines"),
-                     F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))
+                     F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).cast("long").alias("__n_lines"),
+                     F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("__n_removed"))
     if drop_emptied:
-        out = out.where((F.col("n_removed") == 0) | (F.length(F.trim("__text")) > 0))
-    return out.withColumnRenamed("__text", text_col).select(*docs.columns, "n_lines", "n_removed")
+        out = out.where((F.col("__n_removed") == 0) | (F.length(F.trim("__text")) > 0))
+    own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    return out.select(*[F.col("__text" if c == text_col else c).alias(c) for c in own],
+                      F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"))

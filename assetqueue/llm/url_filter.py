@@ -31,7 +31,8 @@ PATTERN_RULES = [
     ("viagra", r"(?:^|[./_-])viagra(?:[./_-]|$)", ["viagra"], "block"),
     ("porn", r"(?:^|[./_-])porn(?:[./_-]|$)", ["porn"], "block"),
     ("login", r"^[^/]+/(?:.*/)?login(?:\.\w+)?/?$", ["login"], "block"),
-    ("cart", r"^[^/]+/(?:.*/)?(?:cart|checkout)(?:\.\w+)?/?$", [], "block"),
+    ("cart", r"^[^/]+/(?:.*/)?cart(?:\.\w+)?/?$", ["cart"], "block"),
+    ("cart", r"^[^/]+/(?:.*/)?checkout(?:\.\w+)?/?$", ["checkout"], "block"),
 ]
 MAX_BROADCAST = 1_000_000
 RULE_SCHEMA = "n int, rule string, pattern string, literals array<string>, action string, rank int"

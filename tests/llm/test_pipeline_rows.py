@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from assetqueue.llm import near_dup
+from assetqueue.llm import line_dedup, near_dup
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -54,3 +54,23 @@ def test_every_text_of_an_id_has_rare_shingles(spark):
     texts = spark.createDataFrame([(1, a), (1, b), (2, b + " more"), (3, a + " more")], "doc_id long, text string")
     rare = {r.id: set(r.rare) for r in near_dup._spelled(texts, 3, 85).collect()}
     assert rare[1] & rare[2] and rare[1] & rare[3]
+
+
+def test_stages_keep_columns_that_bear_their_names(spark, monkeypatch):
+    judged = lambda d, _: d.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
+                                   F.col("text").contains("bad").cast("int").alias("predicted"))
+    monkeypatch.setattr(corpus_pipeline.toxicity, "toxicity", judged)
+    rows = [(i, f"own {i}\nshared line", "en", f"s{i}", 0, i, -i, "t") for i in range(6)] + [(9, "bad", "en", "s", 3, 1, 1, "t")]
+    named = spark.createDataFrame(rows, DOCS + ", n_lines long, N_REMOVED long, th string")
+    kept = corpus_pipeline.drop_toxic(spark, named, "/root/testdata/sf0.001")
+    assert kept.columns == named.columns and kept.where("th = 't'").count() == 6
+    out = corpus_pipeline.drop_boilerplate_lines(spark, kept, "")
+    assert out.columns == named.columns
+    got = {r.doc_id: (r.text, r.n_chars, r.n_lines, r.N_REMOVED) for r in out.collect()}
+    assert got == {i: (f"own {i}", 5, i, -i) if i else ("own 0\nshared line", 0, 0, 0) for i in range(6)}
+
+
+def test_line_counts_replace_columns_of_their_names(spark):
+    named = spark.createDataFrame([(i, "a\nb", f"s{i}", "x") for i in range(5)], "doc_id long, text string, source string, n_removed string")
+    got = {(r.doc_id, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(named, drop_emptied=False).collect()}
+    assert got == {(0, 2, 0)} | {(i, 2, 2) for i in range(1, 5)}

@@ -32,3 +32,7 @@ def test_both_spellings_as_in_sql(spark):
     got = {tuple(r) for r in url_filter.filter_urls(pages).collect()}
     assert got == set(con.execute(OP4).fetchall())
     assert ("spamfarm.example.com", "block", "spam-farm") in {(r[1], r[4], r[5]) for r in got}
+
+
+def test_every_rule_is_filed_under_a_literal():
+    assert all(lits for _, _, lits, _ in url_filter.PATTERN_RULES) and all(r[2] for r in url_filter.host_rules())
