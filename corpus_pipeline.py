@@ -33,14 +33,17 @@ def _numbered(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model predicts toxic go; rows of one id and text have one score."""
     gone = toxicity.toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1")
-    return _without(docs.withColumn("th", F.xxhash64(F.coalesce("text", F.lit("")))), gone, ["doc_id", "th"]).drop("th")
+    gone = gone.select("doc_id", F.col("th").alias("__th"))
+    return _without(docs.withColumn("__th", F.xxhash64(F.coalesce("text", F.lit("")))), gone, ["doc_id", "__th"]).drop("__th")
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on many sites go but for their first occurrence; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs)
+    held = {c: f"__held_{c}" for c in docs.columns if c.lower() in ("n_lines", "n_removed")}
+    out = line_dedup.dedup_lines(docs.withColumnsRenamed(held))
     n_chars = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    out = out.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col(held.get(c, c)).alias(c) for c in docs.columns])
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
