@@ -22,7 +22,7 @@ from assetqueue.operators.boosting import BoostedTrees
 
 
 def vectorize(df: DataFrame, pre: FE.Preprocessor, keep=("vehicle_id", "date")) -> DataFrame:
-    return df.select(*[c for c in keep if c in df.columns], array_to_vector(pre.array()).alias("features"))
+    return pre.vectors(df, keep)
 
 
 def fit_logreg(train: DataFrame, label: str, cfg: Config = DEFAULT):
@@ -124,7 +124,7 @@ def train_models(panel: DataFrame, cfg: Config = DEFAULT, models=("logreg", "hgb
     train = sp.filter(F.col("split") == "train")
     pre = FE.fit_preprocessor(train, cfg)
     labels = [f"breakdown_{h}d" for h in cfg.horizons]
-    feats = sp.select("vehicle_id", "date", "split", *labels, array_to_vector(pre.array()).alias("features")).persist()
+    feats = pre.vectors(sp, ("vehicle_id", "date", "split", *labels)).persist()
     counts = {r["split"]: r["count"] for r in feats.groupBy("split").count().collect()}
     panel.unpersist()
     fitted, preds = {}, []

@@ -20,10 +20,13 @@ from assetqueue.sources.run_store import Run, RunStore
 from assetqueue.sources.tables import save_model, write_report, write_table
 
 
-def validate(panel: DataFrame, dtc: DataFrame, wo: DataFrame, cfg: Config = DEFAULT, out: str | None = None) -> Q.GateResult:
-    """The gate as a job: report and summary are stored, then any failed check fails the job."""
-    gate = Q.validate(panel, dtc, wo, cfg)
+def validate(panel: DataFrame, dtc: DataFrame, wo: DataFrame, cfg: Config = DEFAULT, out: str | None = None,
+             quarantine: dict | None = None) -> Q.GateResult:
+    """The gate as a job: report, summary and unreadable records are stored, then any failed check fails the job."""
+    gate = Q.validate(panel, dtc, wo, cfg, quarantine)
     if out:
+        for name, bad in (quarantine or {}).items():
+            write_table(bad, f"{out}/quarantine/{name}")
         for name in ("report", "summary"):
             write_table(getattr(gate, name), f"{out}/{name}")
         spark = panel.sparkSession

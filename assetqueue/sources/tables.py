@@ -39,6 +39,25 @@ def read_required(spark: SparkSession, path: str, schema: T.StructType | None =
     return normalised(_reader(spark, schema, fmt).load(path))
 
 
+def read_quarantined(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """S1 for CSV: (rows that fit the schema, records that do not).
+
+    A record is malformed if it has too few or too many fields or a value that is not of its column's type;
+    it goes to the second table (file, record) whole. Each table is one filtered scan. All fields are
+    parsed whatever is selected: which records are malformed must not hang on the query.
+    """
+    raw = "_corrupt_record"
+    while raw in schema.fieldNames():
+        raw = "_" + raw
+    full = T.StructType([*schema.fields, T.StructField(raw, T.StringType())])
+    df = (_reader(spark, full, "csv").option("columnNameOfCorruptRecord", raw).option("columnPruning", "false").load(path)
+          .withColumn("__file", F.input_file_name()))
+    # always true: it names every column, as a value that is not asked for is not parsed and cannot be found wrong
+    read = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in schema.fieldNames()])) >= 0
+    bad = df.where(F.col(raw).isNotNull() & read).select(F.col("__file").alias("file"), F.col(raw).alias("record"))
+    return normalised(df.where(F.col(raw).isNull() & read).select(*schema.fieldNames())), bad
+
+
 def normalised(df: DataFrame) -> DataFrame:
     """NaN and "" become NULL: absent values have one form in every check and expression."""
     return empty_string_to_null(nan_to_null(df), [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])

@@ -179,3 +179,36 @@ def test_risk_trend_across_buckets(spark):
     for _, d, s in rows:
         assert got[d] == (None if prev is None else s - prev)
         prev = s
+
+
+def _wrong_routes(spark):
+    values = ["urban"] * 40 + ["x%d" % (i % 9) for i in range(90)] + [None, ""]
+    return spark.createDataFrame([(v, 2.0 if i % 4 == 0 else None) for i, v in enumerate(values)], "route_type string, duty_cycle double")
+
+
+def test_checks_with_examples_count_each_row_once(spark):
+    plan = [Q.Check("coverage", "cover", ("route_type", "duty_cycle")), Q.Check("in_set", "routes", ("route_type",), allowed=("urban",), allow_empty=True),
+            Q.Check("range", "duty", ("duty_cycle",), 0.0, 1.0), Q.Check("in_set", "duties", ("duty_cycle",), allowed=("1.0",))]
+    df = _wrong_routes(spark)
+    cover, routes, duty, duties = Q.run_checks(df.repartition(7), "t", plan).orderBy("check_order").collect()
+    n, with_duty = 132, 33
+    assert cover["metric"] == pytest.approx((131 / n + with_duty / n) / 2)
+    assert (routes["n_bad"], routes["examples"]) == (90, "x0,x1,x2,x3,x4")
+    assert (duty["n_bad"], duty["min_value"], duty["max_value"]) == (with_duty, 2.0, 2.0)
+    assert (duties["n_bad"], duties["examples"]) == (with_duty, "2.0")
+
+
+def test_checks_read_a_table_once(spark, tmp_path):
+    _wrong_routes(spark).write.parquet(str(tmp_path / "t"))
+    plan = [Q.Check("in_set", "routes", ("route_type",), allowed=("urban",)), Q.Check("in_set", "more", ("route_type",), allowed=("rail",)),
+            Q.Check("range", "duty", ("duty_cycle",), 0.0, 1.0)]
+    got = Q.run_checks(spark.read.parquet(str(tmp_path / "t")), "t", plan)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert [r["n_bad"] for r in got.orderBy("check_order").collect()] == [91, 131, 33]
+
+
+def test_missing_column_fails_its_checks(spark):
+    df = spark.createDataFrame([("urban",)], "route_type string")
+    plan = [Q.Check("required", "all there", ("route_type", "date")), Q.Check("datetime", "date", ("date",)), Q.Check("in_set", "sub", ("sub",), allowed=("a",))]
+    rows = Q.run_checks(df, "t", plan).orderBy("check_order").collect()
+    assert [(r["passed"], r["n_bad"], r["examples"]) for r in rows] == [(False, 1, "date"), (False, None, "missing_col"), (False, None, "missing_col")]

@@ -12,6 +12,7 @@ from assetqueue.config import DEFAULT, FIXTURE
 from assetqueue.operators import features as FE
 from assetqueue.operators import models as MD
 from assetqueue.operators import quality as Q
+from assetqueue.plans import jobs
 from assetqueue.schemas import DTC_EVENT, DTC_EVENT_COLUMNS, VEHICLE_DAY_COLUMNS, VEHICLE_DAY_CSV
 from assetqueue.sources import fixtures as FX
 from assetqueue.sources import tables as T
@@ -119,3 +120,56 @@ def test_gate_sees_normalised_values(spark, tmp_path):
     read = T.read_required(spark, str(tmp_path / "p"))
     assert read.filter(F.isnan("duty_cycle")).count() == 0 and read.filter("duty_cycle IS NULL").count() > 0
     assert Q.validate(read, dtc, wo, FIXTURE) is not None
+
+
+def test_malformed_csv_rows_reach_the_report(spark, tmp_path):
+    _, dtc, wo = FX.fx_tables(spark, SF_SMALL)
+    row = {c: "1" for c in VEHICLE_DAY_COLUMNS} | {"date": "2024-01-02", "vehicle_id": "V1", "route_type": "urban"}
+    good = ",".join(row[c] for c in VEHICLE_DAY_COLUMNS)
+    short, wrong = "2024-01-03,V2", ",".join((row | {"date": "bad date", "duty_cycle": "much"})[c] for c in VEHICLE_DAY_COLUMNS)
+    (tmp_path / "v.csv").write_text("\n".join([",".join(VEHICLE_DAY_COLUMNS), good, short, good + ",more", wrong, ""]))
+    rows, bad = T.read_quarantined(spark, str(tmp_path / "v.csv"), VEHICLE_DAY_CSV)
+    assert rows.columns == VEHICLE_DAY_COLUMNS and rows.count() == 1 and bad.count() == 3
+    assert rows.select("vehicle_id").count() == 1  # whatever is selected
+    assert {r["record"] for r in bad.select("record").collect()} == {short, good + ",more", wrong}
+    report = {r["check_name"]: r for r in Q.validate(rows, dtc, wo, FIXTURE, {"vehicle_day": bad}).report.collect()}
+    got = report["vehicle_day: no malformed rows"]
+    assert not got["passed"] and got["n_bad"] == 3 and short in got["examples"]
+    with pytest.raises(jobs.Q.QualityGateError, match="malformed"):
+        jobs.validate(rows, dtc, wo, FIXTURE, str(tmp_path / "out"), {"vehicle_day": bad})
+    assert spark.read.parquet(str(tmp_path / "out/quarantine/vehicle_day")).count() == 3
+    clean = Q.validate(rows, dtc, wo, FIXTURE, {"vehicle_day": bad.limit(0)}).report.where("check_name like '%malformed%'").first()
+    assert clean["passed"] and clean["n_bad"] == 0 and clean["examples"] is None
+
+
+def test_five_thousand_levels(spark):
+    n = 5000
+    num = {c: F.rand(3) for c in DEFAULT.numeric_features}
+    df = spark.range(2 * n).select(F.col("id").alias("vehicle_id"), F.lit(dt.date(2024, 1, 1)).alias("date"),
+                                   F.format_string("r%05d", F.col("id") % n).alias("route_type"), (F.col("id") % 2).cast("double").alias("y"),
+                                   F.lit(1.0).alias("weight"), *[x.alias(c) for c, x in num.items()]).cache()
+    pre = FE.fit_preprocessor(df)
+    assert len(pre.levels) == n and pre.mode == "r00000"
+    some = df.where("vehicle_id in (0, 7, 4999)").select("vehicle_id", "route_type", *DEFAULT.numeric_features)
+    some = some.unionByName(some.where("vehicle_id = 7").withColumns({"vehicle_id": F.lit(-1).cast("long"), "route_type": F.lit("unseen")}))
+    some = some.unionByName(some.where("vehicle_id = 7").withColumns({"vehicle_id": F.lit(-2).cast("long"), "route_type": F.lit(None).cast("string")}))
+    got = {r[0]: r[1] for r in pre.vectors(some, ("vehicle_id",)).collect()}
+    flat = {r[0]: r[1] for r in some.select("vehicle_id", pre.array()).collect()}
+    at = {0: 0, 7: 7, 4999: 4999, -1: None, -2: 0}
+    for i, level in at.items():
+        marks = np.zeros(n)
+        if level is not None:
+            marks[level] = 1
+        assert np.array_equal(got[i].toArray()[-n:], marks) and np.array_equal(got[i].toArray(), np.array(flat[i]))
+        assert got[i].numNonzeros() <= len(DEFAULT.numeric_features) + 1
+    fitted = MD.fit_logreg(pre.vectors(df, ("y", "weight")), "y", DEFAULT.with_(logreg_max_iter=5))
+    assert fitted.numFeatures == len(pre.output_names)
+
+
+def test_wide_and_narrow_vectors_agree(spark, monkeypatch):
+    panel = FX.fx_tables(spark, SF_SMALL)[0].limit(200).cache()
+    pre = FE.fit_preprocessor(panel, FIXTURE)
+    narrow = [tuple(map(float, r[0].toArray())) for r in pre.vectors(panel, ()).collect()]
+    monkeypatch.setattr(FE, "WIDE_LEVELS", 0)
+    assert [tuple(map(float, r[0].toArray())) for r in pre.vectors(panel, ()).collect()] == narrow
+    assert [tuple(r[0]) for r in panel.select(pre.array()).collect()] == narrow
