@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assetqueue.functions import expressions as X
 from assetqueue.operators import panel as P
+from assetqueue.plans import jobs
 from assetqueue.plans.registry import register
 from assetqueue.sources import fixtures as FX
 from assetqueue.sources.fixture_sql import with_fixtures
@@ -141,3 +142,29 @@ def stress_index_q(spark, sf_dir):
 def wo_enrich_q(spark, sf_dir):
     """Work orders with service action / notes text per subsystem."""
     return FX.fx_work_order(spark, sf_dir)
+
+
+DERIVED = ("spc_alert_today", "mileage_total", "brake_wear_index", "breakdown_7d", "breakdown_30d", "subsystem_label")
+
+
+@register("panel_features", "vehicle_id:s date:d spc_alert_today:i ambient_extreme:i stress_index:f mileage_total:f brake_wear_index:f "
+          "dtc_recent:i in_shop:i breakdown_7d:i breakdown_30d:i subsystem_label:s", with_fixtures("""
+SELECT p.vehicle_id, p.date,
+  CASE WHEN coalesce(coolant_temp_max_c > 105e0, false) OR coalesce(egt_max_c > 820e0, false)
+         OR coalesce(battery_v_min < 11.7e0, false) OR coalesce(dpf_delta_p_avg_kpa > 35e0, false) THEN 1 ELSE 0 END AS spc_alert_today,
+  hot AS ambient_extreme,
+  0.80e0 * duty_cycle + 0.45e0 * hilliness_index + 0.35e0 * stop_go_index + 0.35e0 * hot AS stress_index,
+  sum(coalesce(miles_today, 0e0)) OVER past AS mileage_total,
+  least(1e0, greatest(0e0, sum(coalesce(miles_today, 0e0) / 180000e0 + 0.0007e0 * coalesce(stop_go_index, 0e0)) OVER past)) AS brake_wear_index,
+  max(CASE WHEN dtc_count_today > 0 THEN 1 ELSE 0 END)
+    OVER (PARTITION BY p.vehicle_id ORDER BY p.date RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW) AS dtc_recent,
+  CASE WHEN EXISTS (SELECT 1 FROM fx_work_order w WHERE w.vehicle_id = p.vehicle_id AND p.date > w.open_date
+                    AND p.date <= w.open_date + CAST(w.downtime_days - 1 AS INTEGER)) THEN 1 ELSE 0 END AS in_shop,
+  breakdown_7d, breakdown_30d, subsystem_label
+FROM (SELECT *, CASE WHEN ambient_temp_c < -10e0 OR ambient_temp_c > 30e0 THEN 1 WHEN ambient_temp_c IS NULL THEN NULL ELSE 0 END AS hot
+      FROM fx_panel) p
+WINDOW past AS (PARTITION BY p.vehicle_id ORDER BY p.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""))
+def panel_features(spark, sf_dir):
+    """All derived columns of a panel that comes without them, and work orders."""
+    panel, wo = FX.fx_panel(spark, sf_dir).drop(*DERIVED), FX.fx_work_order(spark, sf_dir)
+    return jobs.build_tables(panel, wo)["vehicle_day"]

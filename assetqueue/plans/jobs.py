@@ -123,9 +123,18 @@ def fleet_view(snap: DataFrame, routes=(), bands=(), k: int = 10, ranking: str =
             "histogram": V.risk_histogram(f), "route_means": TR.mean_risk_by_route(f)}
 
 
-def build_panel_features(panel: DataFrame, wo: DataFrame, horizons=(7, 30)) -> DataFrame:
-    """Alert, stress, running mileage, recent fault, shop days and next-order labels of a raw panel."""
+def build_panel_features(panel: DataFrame, wo: DataFrame, horizons=(7, 30), mileage_start=None, wear_start=None) -> DataFrame:
+    """Alert, stress, running mileage and brake wear, recent fault, shop days and next-order labels of a raw panel.
+
+    Mileage and wear start at 0, or at a column or number of the caller's.
+    """
     out = P.with_stress(P.with_spc_alert(panel))
-    out = P.running_mileage(out)
+    out = P.brake_wear(P.running_mileage(out, mileage_start), wear_start)
     out = P.mark_in_shop(P.dtc_recent(out), wo)
     return P.next_event_labels(out, wo, horizons=horizons)
+
+
+def build_tables(panel: DataFrame, wo: DataFrame, horizons=(7, 30), mileage_start=None, wear_start=None) -> dict:
+    """The derived panel and the work orders with action and notes, as the other jobs read them."""
+    return {"vehicle_day": build_panel_features(panel, wo, horizons, mileage_start, wear_start),
+            "work_order": P.enrich_work_orders(wo)}

@@ -103,7 +103,9 @@ def test_explore_and_panel_features(spark):
     raw = panel.drop("spc_alert_today", "mileage_total", "breakdown_7d", "breakdown_30d", "subsystem_label", "risk_score", "ood_flag", "z")
     out = jobs.build_panel_features(raw, wo)
     assert out.count() == panel.count()
-    assert {"spc_alert_today", "stress_index", "mileage_total", "breakdown_7d", "breakdown_30d"} <= set(out.columns)
+    assert {"spc_alert_today", "stress_index", "mileage_total", "breakdown_7d", "breakdown_30d", "brake_wear_index"} <= set(out.columns)
+    orders = jobs.build_tables(raw, wo.drop("action", "notes"))["work_order"]
+    assert orders.count() == wo.count() and orders.where("action IS NULL OR notes IS NULL").count() == 0
 
 
 def test_gate_as_a_job(spark, tmp_path):
