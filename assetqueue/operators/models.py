@@ -21,6 +21,16 @@ from assetqueue.operators import metrics as M
 from assetqueue.operators.boosting import BoostedTrees
 
 
+def without_summary(model):
+    """A logistic model without the summary of its training.
+
+    The summary holds the session; a session that has observed a query (``DataFrame.observe``) cannot be
+    serialized, and then no task could apply the model.
+    """
+    model._java_obj.setSummary(getattr(model._java_obj.trainingSummary(), "empty")())
+    return model
+
+
 def vectorize(df: DataFrame, pre: FE.Preprocessor, keep=("vehicle_id", "date")) -> DataFrame:
     return pre.vectors(df, keep)
 
@@ -36,7 +46,7 @@ def fit_logreg(train: DataFrame, label: str, cfg: Config = DEFAULT):
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
                             maxIter=cfg.logreg_max_iter, regParam=1.0 / float(sw), elasticNetParam=0.0,
                             standardization=False, tol=1e-6)
-    return lr.fit(train)
+    return without_summary(lr.fit(train))
 
 
 def fit_gbt(train: DataFrame, label: str, cfg: Config = DEFAULT, max_iter: int | None = None) -> BoostedTrees:
@@ -101,8 +111,9 @@ def fit_sigmoid(scores: DataFrame, label: str):
     t = F.when(F.col(label) == 1, F.lit((n_pos + 1.0) / (n_pos + 2.0))).otherwise(F.lit(1.0 / (n - n_pos + 2.0)))
     both = scores.select(array_to_vector(F.array("margin")).alias("__m"),
                          F.explode(F.array(F.struct(F.lit(1.0).alias("y"), t.alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - t).alias("w")))).alias("x"))
-    return LogisticRegression(featuresCol="__m", labelCol="y", weightCol="w", predictionCol="__sp", probabilityCol="__sprob",
-                              rawPredictionCol="__sraw", regParam=0.0, tol=1e-9, maxIter=200).fit(both.select("__m", "x.*"))
+    lr = LogisticRegression(featuresCol="__m", labelCol="y", weightCol="w", predictionCol="__sp", probabilityCol="__sprob",
+                            rawPredictionCol="__sraw", regParam=0.0, tol=1e-9, maxIter=200)
+    return without_summary(lr.fit(both.select("__m", "x.*")))
 
 
 def calibrate(model, val: DataFrame, label: str, method: str = "isotonic") -> Calibrated:

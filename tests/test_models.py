@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from assetqueue.config import DEFAULT
 from assetqueue.operators import models as MD
@@ -94,3 +94,17 @@ def test_cox_no_events_note(spark):
     surv = spark.createDataFrame([(5, 0, 0.1), (6, 0, 0.2)], "duration_days int, event_work_order int, x double")
     res = S.cox_ph(surv, covariates=("x",)).first()
     assert res["note"].startswith("no asset has a work order") and not res["converged"]
+
+
+@pytest.mark.parametrize("kind", ["isotonic", "sigmoid"])
+def test_models_apply_after_a_query_was_observed(spark, kind):
+    """An observed query leaves a session that cannot be serialized: fitted models must not hold it."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    X, y = _data(300, seed=4)
+    df = spark.createDataFrame([(list(map(float, x)), float(t), 1.0) for x, t in zip(X, y)],
+                               "f array<double>, label double, weight double").select(
+        array_to_vector("f").alias("features"), "label", "weight")
+    cal = MD.calibrate(MD.fit_logreg(df, "label", DEFAULT), df, "label", kind)
+    assert cal.calibrated and len(cal.predict(df).select("proba").collect()) == 300
