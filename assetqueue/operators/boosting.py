@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from assetqueue.session import settle
 
 MAX_BINS, ROUNDS_A_BLOCK, PARTIALS = 255, 15, 16
-ROWS_A_BLOCK, ROWS_A_PART = 8192, 12_288
+ROWS_A_BLOCK, ROWS_A_PART = 8192, 20_480
 MIN_HESSIAN, EQUAL = 1e-3, 1e-9
 
 
@@ -96,10 +96,13 @@ def _blocks(df: DataFrame, edges, start) -> DataFrame:
     return df.select("features", "y", "w").mapInArrow(run, _BLOCK)
 
 
-def _read(batch, n_features, n_targets):
-    for bins, y, w, m in zip(*(batch.column(c).to_pylist() for c in ("bins", "y", "w", "m"))):
-        shaped = [np.frombuffer(x).reshape(-1, n_targets) for x in (y, w, m)]
-        yield np.frombuffer(bins, np.uint8).reshape(-1, n_features), *shaped
+def _arrays(blocks: DataFrame, n_features, n_targets):
+    """The blocks as an RDD of arrays (bins, y, w, margins)."""
+    def read(r):
+        y, w, m = (np.frombuffer(x).reshape(-1, n_targets) for x in (r.y, r.w, r.m))
+        return np.frombuffer(r.bins, np.uint8).reshape(-1, n_features), y, w, m
+
+    return blocks.rdd.map(read)
 
 
 def _advanced(m, bins, rounds, depth):
@@ -111,45 +114,32 @@ def _advanced(m, bins, rounds, depth):
     return m
 
 
-def _moved(blocks: DataFrame, rounds, depth, n_features, n_targets) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            ms = [_advanced(m, bins, rounds, depth).tobytes() for bins, _, _, m in _read(b, n_features, n_targets)]
-            yield pa.RecordBatch.from_arrays([b.column("bins"), b.column("y"), b.column("w"), pa.array(ms, pa.binary())], names=["bins", "y", "w", "m"])
-
-    return blocks.mapInArrow(run, _BLOCK)
+def _moved(blocks, rounds, depth):
+    return blocks.map(lambda b: (*b[:3], _advanced(b[3], b[0], rounds, depth)))
 
 
-def _histogram(blocks: DataFrame, parts: int, rounds, growing, level, depth, n_features, n_targets, n_bins) -> np.ndarray:
+def _histogram(blocks, parts: int, growing, level, n_features, n_targets, n_bins) -> np.ndarray:
     """Sums of (gradient, hessian, rows) by target, node, feature and bin, for the root or the level's left children."""
-    shape = (n_targets, max(1, 2 ** level // 2), n_features, n_bins, 3)
+    shape, steps = (n_targets, max(1, 2 ** level // 2), n_features, n_bins, 3), PARTIALS
 
-    def run(batches):
-        total = np.zeros(shape)
-        for b in batches:
-            for bins, y, w, m in _read(b, n_features, n_targets):
-                p = 1 / (1 + np.exp(-_advanced(m, bins, rounds, depth)))
-                g, h = w * (p - y), w * p * (1 - p)
-                for k, tree in enumerate(growing):
-                    node = tree.nodes(bins, level) - (2 ** level - 1)
-                    live = np.flatnonzero((node >= 0) & (node % 2 == 0))
-                    cells = ((node[live][:, None] // 2 * n_features + np.arange(n_features)) * n_bins + bins[live]).ravel()
-                    for j, weight in enumerate((g[live, k], h[live, k], None)):
-                        weight = None if weight is None else np.repeat(weight, n_features)
-                        total[k, ..., j] += np.bincount(cells, weights=weight, minlength=total[k, ..., j].size).reshape(shape[1:4])
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
-
-    def add(batches):
+    def run(part, rows):
         total = np.zeros(shape)
-        for b in batches:
-            for x in b.column("sums").to_pylist():
-                total += np.frombuffer(x).reshape(shape)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
-
-    partial = blocks.mapInArrow(run, "sums binary")
-    if parts > PARTIALS:
-        partial = partial.repartition(PARTIALS).mapInArrow(add, "sums binary")
-    return sum((np.frombuffer(r.sums).reshape(shape) for r in partial.collect()), np.zeros(shape))
+        for bins, y, w, m in rows:
+            p = 1 / (1 + np.exp(-m))
+            g, h = w * (p - y), w * p * (1 - p)
+            for k, tree in enumerate(growing):
+                node = tree.nodes(bins, level) - (2 ** level - 1)
+                live = np.flatnonzero((node >= 0) & (node % 2 == 0))
+                cells = ((node[live][:, None] // 2 * n_features + np.arange(n_features)) * n_bins + bins[live]).ravel()
+                for j, weight in enumerate((g[live, k], h[live, k], None)):
+                    weight = None if weight is None else np.repeat(weight, n_features)
+                    total[k, ..., j] += np.bincount(cells, weights=weight, minlength=total[k, ..., j].size).reshape(shape[1:4])
+        yield part % steps, total
+
+    partial = blocks.mapPartitionsWithIndex(run)
+    if parts > steps:
+        partial = partial.reduceByKey(np.add, steps)
+    return sum((x for _, x in sorted(partial.collect(), key=lambda x: x[0])), np.zeros(shape))
 
 
 def _rest(above: np.ndarray, left: np.ndarray, trees: list, level: int) -> np.ndarray:
@@ -227,12 +217,18 @@ def fit(df: DataFrame, edges: list | None = None, rounds: int = 300, depth: int
     share = np.array([min(max(sums[f"p{k}"] / sums[f"w{k}"], 1e-12), 1 - 1e-12) for k in range(n_targets)])
     start = np.log(share / (1 - share))
     parts = max(1, min(df.rdd.getNumPartitions(), -(-sums.n // ROWS_A_PART)))
-    blocks = settle(_blocks(df.coalesce(parts), edges, start)).persist()
-    grown, ahead = [[] for _ in range(n_targets)], []
-    for _ in range(rounds):
+    settled = settle(_blocks(df.coalesce(parts), edges, start))
+    base = _arrays(settled, n_features, n_targets).persist()
+    blocks, grown = base, []
+    for r in range(rounds):
+        before = blocks
+        if r:
+            blocks = (_moved(before, grown[-1:], depth) if r % ROUNDS_A_BLOCK else _moved(base, grown, depth)).persist()
         trees = [Tree.leafless(depth) for _ in range(n_targets)]
         for level in range(depth):
-            left = _histogram(blocks, parts, ahead, trees, level, depth, n_features, n_targets, n_bins)
+            left = _histogram(blocks, parts, trees, level, n_features, n_targets, n_bins)
+            if level == 0 and before not in (base, blocks):
+                before.unpersist()
             hist = left if level == 0 else np.stack((left, _rest(hist, left, trees, level)), axis=2).reshape(n_targets, -1, *left.shape[2:])
             for k, tree in enumerate(trees):
                 for i in range(2 ** level):
@@ -246,12 +242,8 @@ def fit(df: DataFrame, edges: list | None = None, rounds: int = 300, depth: int
                             low = hist[k, i, at[0], : at[1] + 1].sum(axis=0)
                             for child, (gc, hc, _) in ((2 * node + 1, low), (2 * node + 2, hist[k, i, at[0]].sum(axis=0) - low)):
                                 tree.value[child] = -step * gc / max(hc + l2, 1e-300)
-        for k, tree in enumerate(trees):
-            grown[k].append(tree)
-        ahead.append(trees)
-        if len(ahead) == ROUNDS_A_BLOCK:
-            done, blocks = blocks, settle(_moved(blocks, ahead, depth, n_features, n_targets)).persist()
-            done.unpersist()
-            ahead = []
+        grown.append(trees)
     blocks.unpersist()
-    return [BoostedTrees(edges, grown[k], float(start[k]), depth) for k in range(n_targets)]
+    base.unpersist()
+    settled.unpersist()
+    return [BoostedTrees(edges, [trees[k] for trees in grown], float(start[k]), depth) for k in range(n_targets)]

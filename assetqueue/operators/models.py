@@ -21,6 +21,9 @@ from assetqueue.operators import metrics as M
 from assetqueue.operators.boosting import BoostedTrees
 
 
+ROWS_A_PART = 65_536  # of a logistic fit, whose iterations are a job each
+
+
 def without_summary(model):
     """A logistic model without the summary of its training.
 
@@ -42,11 +45,11 @@ def fit_logreg(train: DataFrame, label: str, cfg: Config = DEFAULT):
     sum(w*loss)/sum(w) + reg/2*||b||^2, so reg = 1/sum(w) gives the same optimum
     (no feature standardisation inside: features are already scaled).
     """
-    sw = train.agg(F.sum("weight")).first()[0] or 1.0
+    sw, n = train.agg(F.sum("weight"), F.count("*")).first()
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
-                            maxIter=cfg.logreg_max_iter, regParam=1.0 / float(sw), elasticNetParam=0.0,
+                            maxIter=cfg.logreg_max_iter, regParam=1.0 / float(sw or 1.0), elasticNetParam=0.0,
                             standardization=False, tol=1e-6)
-    return without_summary(lr.fit(train))
+    return without_summary(lr.fit(train.coalesce(max(1, -(-n // ROWS_A_PART)))))
 
 
 def fit_gbt(train: DataFrame, label: str, cfg: Config = DEFAULT, max_iter: int | None = None) -> BoostedTrees:

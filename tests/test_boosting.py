@@ -105,3 +105,20 @@ def test_quantile_edges_and_cases(spark):
     assert all((t.feature == -1).all() for t in model.trees) and model.start > 20
     with pytest.raises(ValueError):
         B.fit(same.limit(0), edges)
+
+
+def test_a_level_is_one_job_and_nothing_stays_cached(spark, data, monkeypatch):
+    x, y, w = data
+    monkeypatch.setattr(B, "PARTIALS", 2)
+    monkeypatch.setattr(B, "ROWS_A_PART", 50)
+    monkeypatch.setattr(B, "ROUNDS_A_BLOCK", 4)
+    rows, sc = table(spark, x, y, w, 7), spark.sparkContext
+    kept = sc._jsc.getPersistentRDDs().size()
+    jobs = []
+    for rounds in (2, 12):
+        sc.setJobGroup(f"rounds-{rounds}", "")
+        B.fit(rows, [np.array([0.0])] * 4, rounds=rounds, min_leaf=5)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"rounds-{rounds}")))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] - jobs[0] <= 10 * 3
+    assert sc._jsc.getPersistentRDDs().size() <= kept
