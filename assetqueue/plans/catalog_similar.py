@@ -12,6 +12,7 @@ from assetqueue.plans import catalog_features as CF
 from assetqueue.plans.catalog_triage import CFG, fixture_snapshot
 from assetqueue.plans.oracle_common import snapshot_ctes
 from assetqueue.plans.registry import register
+from assetqueue.session import settle
 from assetqueue.sources import fixtures as FX
 from assetqueue.sources.fixture_sql import with_fixtures
 
@@ -21,8 +22,8 @@ DIMS = [f"num__{c}" for c in NUM] + [f"cat__route_type_{lv}" for lv in LEVELS]
 
 
 def fixture_evidence(spark, sf_dir, mode="postfilter"):
-    snap, as_of = fixture_snapshot(spark, sf_dir)
-    panel = FX.fx_panel(spark, sf_dir)
+    panel = settle(FX.fx_panel(spark, sf_dir))  # every step below reads it
+    snap, as_of = fixture_snapshot(spark, sf_dir, panel=panel)
     pre = FE.fit_preprocessor(FE.train_slice(panel, CFG), CFG)
     queue = TR.service_queue(snap, CFG.k_queue, "cost").filter(F.col("queue_rank") <= CFG.evidence_queries)
     # the queue is K rows by its limit

@@ -15,8 +15,10 @@ from assetqueue.sources.tables import latest_results, stamp_results
 CFG = FIXTURE
 
 
-def fixture_snapshot(spark, sf_dir, cfg=CFG):
-    panel, dtc, wo = FX.fx_tables(spark, sf_dir)
+def fixture_snapshot(spark, sf_dir, cfg=CFG, panel=None):
+    """Snapshot of the latest day and that day; ``panel`` if it is computed already."""
+    fresh, dtc, wo = FX.fx_tables(spark, sf_dir)
+    panel = fresh if panel is None else panel
     as_of = TR.latest_date(panel)
     snap = TR.triage_snapshot(TR.latest_day(panel, as_of), dtc, wo, as_of, cfg)
     return snap, as_of

@@ -66,3 +66,18 @@ def test_cells_far_away_are_not_searched(spark, monkeypatch):
     assert 0 < met.count() < 300 and all(int(r.vehicle_id[1:]) % 2 for r in met.collect())
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "LocalTableScan" not in plan.replace("LocalTableScan [__cell", "") and "Scan ExistingRDD" in plan
+
+
+def test_evidence_computes_the_panel_once(spark, tmp_path, monkeypatch):
+    from assetqueue.plans import catalog_similar as CS
+
+    rng = np.random.default_rng(8)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(days=i % 30, hours=int(rng.integers(0, 24))), int(i // 30 % 8), str(rng.choice(["error", "purchase", "view"])),
+             float(rng.uniform(1, 300)), '{"k": %d}' % rng.integers(0, 100)) for i in range(720)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    read, knn = [], SM.knn
+    monkeypatch.setattr(SM, "knn", lambda history, *a, **k: read.append(history.inputFiles()) or knn(history, *a, **k))
+    CS.fixture_evidence(spark, str(tmp_path)).collect()
+    assert read == [[]]  # from the settled panel, not from the events again
