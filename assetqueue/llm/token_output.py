@@ -61,8 +61,9 @@ def slots(index: np.ndarray, n: int, key: int = KEY, inverse: bool = False) -> n
 
 
 def _sequences(blob, stride):
-    blob += END_ID.to_bytes(4, "little")
-    return [blob[at: at + 4 * stride] for at in range(0, len(blob), 4 * stride)]
+    """Records of two-byte ids: those of a document (four bytes each) and the end id."""
+    blob = _two_bytes(blob + END_ID.to_bytes(4, "little"))
+    return [blob[at: at + 2 * stride] for at in range(0, len(blob), 2 * stride)]
 
 
 def _two_bytes(blob: bytes) -> bytes:
@@ -116,8 +117,8 @@ def materialise(docs: DataFrame, out_dir: str, id_col="doc_id", text_col="text",
                     for i, s in enumerate(_sequences(blob, stride)):
                         doc.append(d)
                         start.append(i * stride)
-                        total.append(len(s) // 4)
-                        ids.append(_two_bytes(s))
+                        total.append(len(s) // 2)
+                        ids.append(s)
                 slot = slots(np.arange(at, at + len(doc)), n, key)
                 at += len(doc)
                 yield pa.RecordBatch.from_arrays(

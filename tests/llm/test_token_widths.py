@@ -11,3 +11,22 @@ def test_two_bytes():
     assert np.frombuffer(T._two_bytes(ids.tobytes()), "<u2").tolist() == ids.tolist() and T._two_bytes(b"") == b""
     with pytest.raises(ValueError):
         T._two_bytes(np.array([70_000], "<u4").tobytes())
+
+
+def test_new_words_are_learnt_in_one_call(monkeypatch):
+    from assetqueue.llm.bpe import RankEncoder, default_path
+
+    enc, calls = RankEncoder(default_path("byte_bpe_50k.tiktoken")), []
+    words = ["alpha", "b2b", "don't", "naïve", "日本", "x,y", "7_000", "a" * 500, "\nline", "..."]
+    want = {w: enc.whole(" " + w) for w in words if w[0] != "\n"}
+    whole = enc.lib.encode_ordinary
+
+    class Counted:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return whole(text)
+
+    enc.lib = Counted()
+    enc.learn(words)
+    assert len(calls) == 1 and {w: enc.later[w] for w in want if len(w) < 500} == {w: x for w, x in want.items() if len(w) < 500}
+    assert len(calls) == 1 and "a" * 500 not in enc.later and "\nline" not in enc.later
