@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 IRREGULAR = re.compile(r"\s \s|\s \Z|  ")
 _LETTERS_MARKS = re.compile(r"([^\W\d_]+)([^\w\s]*)")
 MAX_CACHED, MAX_EDGES, MAX_WORD = 1_000_000, 100_000, 200
+MARKS = ".,;:!?"
 #: white space that ``encode_many`` does not cut at: runs but for two line feeds inside a text, and other characters
 ODD = (r"  | \n|\n |\n\n\n|\n\n\z|[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}"
        r"\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]")
@@ -60,8 +61,10 @@ class _Words(dict):
         if word in self.old:
             self[word] = out = self.old[word]
             return out
-        m = _LETTERS_MARKS.fullmatch(word)
-        if m and m[1].isalpha():  # one run of letters is one unit of the pattern, and marks after it another
+        m = not word.isalpha() and _LETTERS_MARKS.fullmatch(word)
+        if word.isalpha():
+            out = self.owner.unit(self.lead + word)
+        elif m and m[1].isalpha():  # one run of letters is one unit of the pattern, and marks after it another
             if m[2]:
                 out = self[m[1]] + self.owner.marks[m[2]]
             else:
@@ -110,8 +113,8 @@ class Encoder:
         return array("I", self.lib.encode(text, add_special_tokens=False).ids).tobytes()
 
     def unit(self, text: str) -> bytes:
-        """Ids of one unit of the pre-tokenizer's pattern."""
-        mapped = text.encode().decode("latin-1").translate(_CHARACTERS)
+        """Ids of one unit of the pre-tokenizer's pattern: letters, a space before them or none."""
+        mapped = text.replace(" ", _CHARACTERS[32]) if text.isascii() else text.encode().decode("latin-1").translate(_CHARACTERS)
         return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
     def encode(self, text: str | None) -> bytes:
@@ -132,12 +135,8 @@ class Encoder:
     def learn(self, words: list):
         """Put words that are met for the first time into the cache, where there is a faster way than one by one."""
 
-    def encode_many(self, texts: pa.Array) -> list:
-        """``encode`` of each text (a string array), as bytes."""
-        if not self.cuts:
-            return [self.encode(t) for t in texts.to_pylist()]
-        self.later.turn()
-        self.first.turn()
+    def _cut(self, texts: pa.Array) -> tuple:
+        """Texts without nulls; which of them are odd; the others' first words, all their words by a dictionary, and bounds of texts."""
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, ODD)
         for s in self.special:
@@ -145,22 +144,81 @@ class Encoder:
         plain = pc.if_else(odd, "", texts)
         lists = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
         words, at = lists.flatten(), lists.offsets.to_numpy()
-        heads, words = words.take(pa.array(at[:-1])), words.dictionary_encode()
+        odd = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        return texts, odd, words.take(pa.array(at[:-1])), words.dictionary_encode(), at
+
+    def _apart(self, behind_space: pa.Array, behind_line: pa.Array) -> tuple:
+        """Ids of many strings and where those of each begin and end; the former stand behind a space or begin with a line feed."""
         line, first, later = self.first["\n"], self.first, self.later
-        distinct = words.dictionary.to_pylist()
-        self.learn(distinct)
-        ids = [line + first[w[1:]] if w[:1] == "\n" else later[w] for w in distinct]
-        index = words.indices.to_numpy().astype(np.int64)
-        index[at[:-1]] = len(ids) + np.arange(len(heads))  # the first word of a text has no space before it
-        found = pa.array(ids + [first[w] for w in heads.to_pylist()], pa.large_binary()).take(pa.array(index))
-        _, ends, data = found.buffers()
-        ends = np.frombuffer(ends, np.int64)[at].tolist() if len(found) else [0]
-        data = memoryview(data) if data is not None else b""
-        out = [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
-        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+        words = behind_space.to_pylist()
+        self.learn(words)
+        found = [line + first[w[1:]] if w[:1] == "\n" else later[w] for w in words] + [first[w] for w in behind_line.to_pylist()]
+        bounds = np.cumsum([0, *map(len, found)]) // 4
+        return np.frombuffer(b"".join(found), "<u4"), bounds[:-1].copy(), bounds[1:]
+
+    def _word_ids(self, heads: pa.Array, distinct: pa.Array):
+        """Ids of many words, and where those of each begin and end: of ``distinct``, then of ``heads``.
+
+        Marks at the end of a word, behind a letter or a digit, are a unit of their own: a word is encoded once with all its marks.
+        """
+        marked = pc.match_substring_regex(distinct, f"[A-Za-z0-9][{MARKS}]+\\z")
+        stems = pc.if_else(marked, pc.ascii_rtrim(distinct, MARKS), distinct).dictionary_encode()
+        marks = pc.replace_substring_regex(distinct.filter(marked), "(?s)^.*[A-Za-z0-9]", "").dictionary_encode()
+        ids, begin, end = self._apart(stems.dictionary, pa.concat_arrays([marks.dictionary, heads]))
+        parts = np.zeros((2, len(distinct), 2), np.int64)  # begin and end; of the stem and of its marks
+        index, marked = len(stems.dictionary) + marks.indices.to_numpy(), marked.to_numpy(zero_copy_only=False)
+        parts[:, :, 0] = begin[stems.indices.to_numpy()], end[stems.indices.to_numpy()]
+        parts[:, marked, 1] = begin[index], end[index]
+        flat, ends = _runs(ids, *parts.reshape(2, -1))
+        rest = len(stems.dictionary) + len(marks.dictionary)
+        return (np.concatenate((flat, ids)), np.concatenate((ends[:-1:2], len(flat) + begin[rest:])),
+                np.concatenate((ends[2::2], len(flat) + end[rest:])))
+
+    def _found(self, texts: pa.Array):
+        """(texts, odd ones, ids, where those of each distinct word begin and end, words as indices of these, bounds of texts)."""
+        texts, odd, heads, words, at = self._cut(texts)
+        ids, begin, end = self._word_ids(heads, words.dictionary)
+        index = words.indices.to_numpy().copy()
+        index[at[:-1]] = len(words.dictionary) + np.arange(len(heads))
+        return texts, odd, ids, begin, end, index, at
+
+    def encode_many(self, texts: pa.Array) -> list:
+        """``encode`` of each text (a string array), as bytes."""
+        if not self.cuts:
+            return [self.encode(t) for t in texts.to_pylist()]
+        self.later.turn()
+        self.first.turn()
+        texts, odd, ids, begin, end, index, at = self._found(texts)
+        out = []
+        for lo in range(0, len(texts), 256):  # a few at a time: positions take more room than ids
+            some = at[lo: lo + 257]
+            words = index[some[0]: some[-1]]
+            flat, bounds = _runs(ids, begin[words], end[words])
+            flat, bounds = flat.tobytes(), (4 * bounds[some - some[0]]).tolist()
+            out += [flat[a:b] for a, b in zip(bounds, bounds[1:])]
+        for i in odd:
             out[i] = self.encode(texts[int(i)].as_py())
         return out
 
+    def count_many(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        if not self.cuts:
+            return np.array([len(self.encode(t)) // 4 for t in texts.to_pylist()], np.int64)
+        self.later.turn()
+        self.first.turn()
+        texts, odd, _, begin, end, index, at = self._found(texts)
+        out = np.diff(np.concatenate(([0], np.cumsum((end - begin)[index])))[at])
+        for i in odd:
+            out[i] = len(self.encode(texts[int(i)].as_py())) // 4
+        return out
+
+
+def _runs(ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple:
+    """``ids[begin:end]`` of all pairs behind one another, and the bounds between them."""
+    n = end - begin
+    bounds = np.concatenate(([0], np.cumsum(n)))
+    return ids[np.repeat(begin - bounds[:-1], n) + np.arange(bounds[-1])], bounds
+
 
 class RankEncoder(Encoder):
     """The same over a file of ranks; no string of a text is a special token."""
@@ -199,8 +257,31 @@ class RankEncoder(Encoder):
         ends, blob = [*(4 * at[1:]).tolist(), 4 * len(ids)], ids.tobytes()
         later.update(zip(new, (blob[a:b] for a, b in zip((4 * at).tolist(), ends))))
 
+    def _apart(self, behind_space: pa.Array, behind_line: pa.Array):
+        """As above, with one call for all and no cache: the latter get a line feed, whose id is left out again."""
+        led = pc.starts_with(behind_space, "\n")
+        pieces = pa.concat_arrays([pc.if_else(led, behind_space, pc.binary_join_element_wise("", behind_space, " ")),
+                                   pc.binary_join_element_wise("", behind_line, "\n")])
+        bare = pc.binary_length(pieces).to_numpy() == 1  # white space alone, which would run into the next piece's
+        solid = pieces.filter(pa.array(~bare))
+        bounds = np.concatenate(([0], np.cumsum(pc.binary_length(solid).to_numpy().astype(np.int64))))
+        ids, line, space = (np.frombuffer(self.whole(t), "<u4") for t in ("".join(solid.to_pylist()), "\n", " "))
+        starts = np.concatenate(([0], np.cumsum(self.sizes[ids])))
+        at = np.searchsorted(starts, bounds)
+        if len(line) != 1 or starts[-1] != bounds[-1] or (starts[at] != bounds).any():
+            return super()._apart(behind_space, behind_line)
+        lined = np.concatenate((led.to_numpy(zero_copy_only=False), np.ones(len(behind_line), bool)))
+        begin, end = (np.where(lined, len(ids), x) for x in (len(ids) + 1, len(ids) + 1 + len(space)))
+        end[lined] += 1
+        begin[~bare], end[~bare] = at[:-1], at[1:]
+        ids = np.concatenate((ids, line, space))
+        if (ids[begin[lined]] != line[0]).any():
+            return super()._apart(behind_space, behind_line)
+        begin[len(led):] += 1
+        return ids, begin, end
+
     def whole(self, text: str) -> bytes:
-        return array("I", self.lib.encode_ordinary(text)).tobytes()
+        return self.lib.encode_to_numpy(text, disallowed_special=()).tobytes()
 
     unit = whole
 

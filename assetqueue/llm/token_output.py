@@ -32,6 +32,7 @@ from assetqueue.llm.bpe import default_path, encoder, text_slices
 from assetqueue.llm.common import shared_dir
 
 STRIDE, SHARD_RECORDS, KEY, ROUNDS, END_ID, PAD_ID = 256, 1 << 15, 0x5EED, 6, 0, 0
+BLOCK_BYTES = 1 << 23  # of text encoded at once: words of a block are encoded once each
 
 
 def _round(x: np.ndarray, key: int, r: int) -> np.ndarray:
@@ -97,8 +98,8 @@ def materialise(docs: DataFrame, out_dir: str, id_col="doc_id", text_col="text",
     def count(batches):
         enc, n = encoder(path), 0
         for batch in batches:
-            for b in text_slices(batch):
-                n += sum(-(-(len(blob) // 4 + 1) // stride) for blob in enc.encode_many(b.column("text")))
+            for b in text_slices(batch, max_bytes=BLOCK_BYTES):
+                n += int((enc.count_many(b.column("text")) // stride + 1).sum())
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64())], names=["part", "n"])
 
     counts = dict(docs.mapInArrow(count, "part long, n long").groupBy("part").agg(F.sum("n")).collect())
@@ -111,7 +112,7 @@ def materialise(docs: DataFrame, out_dir: str, id_col="doc_id", text_col="text",
         enc, at = encoder(path), bases.get(TaskContext.get().partitionId(), 0)
         end = at + counts.get(TaskContext.get().partitionId(), 0)
         for batch in batches:
-            for b in text_slices(batch):
+            for b in text_slices(batch, max_bytes=BLOCK_BYTES):
                 doc, start, total, ids = [], [], [], []
                 for d, blob in zip(b.column("doc_id").to_pylist(), enc.encode_many(b.column("text"))):
                     for i, s in enumerate(_sequences(blob, stride)):

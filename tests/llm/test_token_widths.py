@@ -1,6 +1,7 @@
 """Ids of shards: two bytes each, and none is cut silently."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from assetqueue.llm import token_output as T
@@ -30,3 +31,26 @@ def test_new_words_are_learnt_in_one_call(monkeypatch):
     enc.learn(words)
     assert len(calls) == 1 and {w: enc.later[w] for w in want if len(w) < 500} == {w: x for w, x in want.items() if len(w) < 500}
     assert len(calls) == 1 and "a" * 500 not in enc.later and "\nline" not in enc.later
+
+
+def test_words_of_a_block_are_encoded_in_one_call():
+    from assetqueue.llm.bpe import RankEncoder, default_path
+
+    enc = RankEncoder(default_path("byte_bpe_50k.tiktoken"))
+    texts = [None, "", "one two, one two.", "two\none,\n\n1. two!", "don't. don't", "é, é. x²; x²", "\n", "a ", " a", "tab\tone", "日本, 日本"] * 50
+    want = [enc.whole(t or "") for t in texts]
+    calls, whole = [], enc.whole
+    enc.whole = lambda t: calls.append(t) or whole(t)
+    assert enc.encode_many(pa.array(texts, pa.string())) == want and not {"one", "two", "two,"} & set(enc.later)
+    assert len([t for t in calls if " one" in t]) == 1
+    assert max(calls, key=len).count(" two") == 1
+    assert enc.count_many(pa.array(texts, pa.string())).tolist() == [len(x) // 4 for x in want]
+    assert enc.count_many(pa.array([], pa.string())).tolist() == []
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_counts_are_those_of_the_ids(name):
+    from assetqueue.llm.bpe import Encoder, default_path
+
+    enc, texts = Encoder(default_path(name)), pa.array([None, "", "a b.", "x  y", "12,\n.b", "<|endoftext|>", "Ünï, ünï!"])
+    assert enc.count_many(texts).tolist() == [len(enc.whole(t or "")) // 4 for t in texts.to_pylist()]
