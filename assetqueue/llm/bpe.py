@@ -53,7 +53,7 @@ class _Words(dict):
         self.lead, self.owner, self.old = lead, owner, {}
 
     def turn(self):
-        if len(self) > MAX_CACHED // 2:
+        if len(self) > self.owner.cached // 2:
             self.old = dict(self)
             self.clear()
 
@@ -89,6 +89,8 @@ class _Marks(dict):
 
 
 class Encoder:
+    cached = MAX_CACHED
+
     def __init__(self, path: str):
         import os
 
@@ -289,10 +291,11 @@ class RankEncoder(Encoder):
 _encoders: dict = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One per Python worker."""
+def encoder(path: str, cached: int = MAX_CACHED) -> Encoder:
+    """One per Python worker, with a cache of at most about ``cached`` words."""
     if path not in _encoders:
         _encoders[path] = (RankEncoder if path.endswith(".tiktoken") else Encoder)(path)
+    _encoders[path].cached = cached
     return _encoders[path]
 
 

@@ -21,7 +21,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from assetqueue.llm.bpe import default_path, encoder, text_slices
+from assetqueue.llm.bpe import MAX_CACHED, default_path, encoder, text_slices
 from assetqueue.llm.common import trimmed
 
 WINDOW, END_ID, MAX_SLACK, BUCKET_DOCS = 1024, 0, 8, 4000
@@ -86,17 +86,21 @@ def plan(tails: list, window: int = WINDOW, max_slack: int = MAX_SLACK) -> list:
 
 
 def pack(docs: DataFrame, id_col="doc_id", text_col="text", tokenizer: str | None = None,
-         window: int = WINDOW, end_id: int = END_ID, max_slack: int = MAX_SLACK) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+         window: int = WINDOW, end_id: int = END_ID, max_slack: int = MAX_SLACK,
+         cached: int = MAX_CACHED, block_bytes: int = 1 << 22) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    A worker keeps the ids of ``cached`` words and encodes ``block_bytes`` of text at once: less of both takes less memory and more time.
+    """
     path = tokenizer or default_path("byte_bpe_50k.json")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     buckets = docs.select("doc_id").count() // BUCKET_DOCS + 1
     end = end_id.to_bytes(4, "little")
 
     def cut_up(batches):
-        enc = encoder(path)
+        enc = encoder(path, cached)
         for batch in batches:
-            for b in text_slices(batch):
+            for b in text_slices(batch, max_bytes=block_bytes):
                 rows: list = [[] for _ in range(7)]
                 buckets_, ids_ = (b.column(n).to_pylist() for n in ("bucket", "doc_id"))
                 for bucket, doc, blob in zip(buckets_, ids_, enc.encode_many(b.column("text"))):
@@ -110,6 +114,7 @@ def pack(docs: DataFrame, id_col="doc_id", text_col="text", tokenizer: str | Non
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in rows[:6]] + [pa.array(rows[6], pa.binary())],
                     names=["bucket", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+            batch = b = None  # not held while the next one is read
 
     def place(t):
         # an order by content: a task that runs again numbers its sequences alike

@@ -64,8 +64,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, packed into sequences."""
-    return packing.pack(docs)
+    """Token ids of what is left, packed into sequences; little is held at once, as the executors still hold memory of the stages before."""
+    return packing.pack(docs, cached=100_000, block_bytes=1 << 21)
 
 
 STAGES = [("toxicity", drop_toxic), ("line dedup", drop_boilerplate_lines), ("near-duplicates", keep_one_copy),

@@ -54,3 +54,25 @@ def test_counts_are_those_of_the_ids(name):
 
     enc, texts = Encoder(default_path(name)), pa.array([None, "", "a b.", "x  y", "12,\n.b", "<|endoftext|>", "Ünï, ünï!"])
     assert enc.count_many(texts).tolist() == [len(enc.whole(t or "")) // 4 for t in texts.to_pylist()]
+
+
+def test_the_cache_of_words_is_bounded():
+    """Rows of ever new words: the cache holds stems without their marks, and at most two generations of them."""
+    from assetqueue.llm import bpe
+
+    path = bpe.default_path("byte_bpe_50k.json")
+    enc = bpe.encoder(path, 200)
+    enc._reset()
+    for block in range(20):
+        texts = [" ".join(f"w{chr(97 + block)}{chr(97 + i)}{chr(97 + j)}{mark}" for mark in ("", ",", ".")) for i in range(10) for j in range(5)]
+        assert enc.encode_many(pa.array(texts)) == [enc.whole(t) for t in texts]
+        assert len(enc.later) <= 100 + 55 and len(enc.later.old) <= 100 + 55
+    assert bpe.encoder(path) is enc and enc.cached == bpe.MAX_CACHED
+
+
+def test_little_memory_gives_the_same_pieces(spark):
+    from assetqueue.llm import packing
+
+    docs = spark.createDataFrame([(i, f"{'some words, ' * (7 * i)}n{i}" if i % 9 else None) for i in range(300)], "doc_id long, text string")
+    want = sorted(packing.pack(docs).collect())
+    assert want and sorted(packing.pack(docs, cached=10, block_bytes=1000).collect()) == want
