@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from assetqueue.llm.common import ascii_lower, broadcast_if_small, written
 
-WINDOW, BLOCK, MAX_BROADCAST = 10, 1 << 14, 1_000_000
+WINDOW, BLOCK, MAX_BROADCAST, TASK_POSTINGS = 10, 1 << 14, 1_000_000, 1_000_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 END_TERM, VOCAB_PARTS = -1, 64
 
@@ -78,13 +78,24 @@ def diagonals(index: DataFrame, items: DataFrame) -> DataFrame:
     return met.select("row", "iid", (F.col("pos") - F.col("q")).alias("shift")).distinct()
 
 
+def posting_lists(index: DataFrame, rows: DataFrame) -> DataFrame:
+    """(row, block, codes): the postings of ``rows``, by blocks of positions.
+
+    Dealt out before they are put together, some ``TASK_POSTINGS`` a task: a file of the index holds
+    many times that, and gathering sorts all postings of a task in memory.
+    """
+    block = F.floor(F.col("pos") / BLOCK).cast("long")
+    parts = max(index.count() // TASK_POSTINGS + 1, int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    codes = (index.where(F.col("term") != END_TERM).join(rows, "row", "left_semi")
+             .select("row", block.alias("block"), _code(F.col("pos"), F.col("term")).alias("code")))
+    return codes.repartition(parts, "row", "block").groupBy("row", "block").agg(F.collect_list("code").alias("codes"))
+
+
 def phrase_hits(index: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(row, iid, item_id, places): document positions inside an occurring window, by diagonal."""
     diag = written(diagonals(index, items), "diagonals")
     rows = broadcast_if_small(diag.select("row").distinct(), MAX_BROADCAST)
-    block = F.floor(F.col("pos") / BLOCK).cast("long")
-    lists = (index.where(F.col("term") != END_TERM).join(rows, "row", "left_semi")
-             .groupBy("row", block.alias("block")).agg(F.collect_list(_code(F.col("pos"), F.col("term"))).alias("codes")))
+    lists = posting_lists(index, rows)
     wanted = diag.join(broadcast_if_small(items.select("iid", "terms"), 100_000), "iid")
     last = F.col("shift") + F.size("terms") - 1
     wanted = wanted.where(last >= 0).select("*", F.explode(F.sequence(

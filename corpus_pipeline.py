@@ -19,8 +19,8 @@ MAX_BROADCAST = 1_000_000
 
 
 def _without(docs: DataFrame, gone: DataFrame, keys: list) -> DataFrame:
-    """Rows of ``docs`` whose keys are not in ``gone``; null is a key like any other."""
-    gone = gone.select(*[F.col(k).alias(f"__gone_{k}") for k in keys]).distinct()
+    """Rows of ``docs`` whose keys are not in ``gone``, which is computed once; null is a key like any other."""
+    gone = written(gone.select(*[F.col(k).alias(f"__gone_{k}") for k in keys]).distinct(), "gone")
     same = [F.col(k).eqNullSafe(F.col(f"__gone_{k}")) for k in keys]
     return docs.join(broadcast_if_small(gone, MAX_BROADCAST), same, "left_anti")
 

@@ -74,3 +74,17 @@ def test_line_counts_replace_columns_of_their_names(spark):
     named = spark.createDataFrame([(i, "a\nb", f"s{i}", "x") for i in range(5)], "doc_id long, text string, source string, n_removed string")
     got = {(r.doc_id, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(named, drop_emptied=False).collect()}
     assert got == {(0, 2, 0)} | {(i, 2, 2) for i in range(1, 5)}
+
+
+def test_what_goes_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = docs(spark, [(i, f"text {i}") for i in range(10)] + [(None, "text")])
+    gone = rows.where("doc_id < 4 or doc_id is null").select("doc_id").mapInArrow(counted, "doc_id long")
+    assert left(corpus_pipeline._without(rows, gone, ["doc_id"])) == left(rows.where("doc_id >= 4"))
+    assert seen.value == 5

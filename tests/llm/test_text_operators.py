@@ -171,3 +171,25 @@ def test_signature_estimate_is_close(spark):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_postings_are_gathered_a_bounded_number_a_task(spark, monkeypatch):
+    """A file of the index holds more postings than a task should sort in memory."""
+    monkeypatch.setattr(decontamination, "TASK_POSTINGS", 100)
+    vocab = [(f"w{i}", i) for i in range(20)] + [("", decontamination.END_TERM)]
+    rows = [(i, " ".join(f"w{(i + j) % 25}" for j in range(30)), "a") for i in range(100)]
+    index = decontamination.build_index(docs(spark, rows), spark.createDataFrame(vocab, "word string, term long")).coalesce(1)
+    n = index.count()
+    hit = index.where("doc_id % 10 <> 3").select("row")
+    lists = decontamination.posting_lists(index, hit)
+    want: dict = {}
+    for r in index.where(F.col("term") >= 0).join(hit, "row").collect():
+        want.setdefault((r["row"], r["pos"] // decontamination.BLOCK), []).append((r["pos"] << 32) | r["term"])
+    out = lists.withColumn("task", F.spark_partition_id()).collect()
+    assert {(r["row"], r["block"]): sorted(r["codes"]) for r in out} == {k: sorted(x) for k, x in want.items()} and len(out) == len(want) == 90
+    tasks: dict = {}
+    for r in out:
+        tasks[r["task"]] = tasks.get(r["task"], 0) + len(r["codes"])
+    assert max(tasks.values()) < n / 4 and len(tasks) > 8
+    gathered = lists._jdf.queryExecution().executedPlan().toString().partition("partial_collect_list")[2]
+    assert "REPARTITION_BY_NUM" in gathered
