@@ -122,3 +122,43 @@ def test_a_level_is_one_job_and_nothing_stays_cached(spark, data, monkeypatch):
     sc.setLocalProperty("spark.jobGroup.id", None)
     assert jobs[1] - jobs[0] <= 10 * 3
     assert sc._jsc.getPersistentRDDs().size() <= kept
+
+
+def test_a_level_has_no_more_tasks_than_cores(spark, data, monkeypatch):
+    monkeypatch.setattr(B, "ROWS_A_PART", 5)
+    x, y, w = data
+    sc = spark.sparkContext
+    rows = table(spark, x, y, w, 3 * sc.defaultParallelism).persist()
+    rows.count()
+    sc.setJobGroup("tasks-of-levels", "")
+    fitted = B.fit(rows, [np.array([0.0])] * 4, rounds=2, min_leaf=5)
+    tracker = sc.statusTracker()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    rows.unpersist()
+    last = sorted(tracker.getJobIdsForGroup("tasks-of-levels"))[-2 * 3:]  # a job for each level of two rounds
+    stages = [tracker.getStageInfo(s) for j in last for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) <= sc.defaultParallelism
+    assert all((t.feature >= 0).any() for m in fitted for t in m.trees)
+
+
+def test_only_the_child_of_fewer_rows_is_summed(spark, data, monkeypatch):
+    x, y, w = data
+    seen, plain = [], B._histogram
+
+    def watched(*args):
+        seen.append(plain(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(B, "_histogram", watched)
+    edges = [np.unique(np.nanquantile(x[:, i], np.arange(1, 10) / 10)) for i in range(4)]
+    fitted = B.fit(table(spark, x, y, w), edges, rounds=3, min_leaf=15)
+    for h in (h for i, h in enumerate(seen) if i % 3):  # below the root: at most half of the rows, whichever side they are on
+        assert (h[:, :, 0, :, 2].sum(axis=(1, 2)) <= len(x) / 2).all()
+    bins, right = B.binned(x, edges), 0
+    for model in fitted:
+        for t in model.trees:
+            root = bins[:, t.feature[0]] <= t.threshold[0]
+            right += root.sum() > len(x) / 2
+            rows_wise = [t.margins(bins[i: i + 1], 3)[0] for i in range(len(bins))]
+            assert np.array_equal(t.margins(np.asfortranarray(bins), 3), rows_wise)
+    assert right  # some of the smaller children were right ones
